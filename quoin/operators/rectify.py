@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import geometry as g
@@ -20,20 +21,20 @@ def rectified(tex: DataFrame, ppm: float = 1 / 0.16, margin: int = 4) -> DataFra
     """
     p = tex.groupBy(*FACE).agg(g.pack("seq", "x", "y", "z", "su", "sv").alias("ring"))
     p = g.to_plane(p)
-    both = F.zip_with("ring", "plane", lambda r, q: F.struct(r["su"].alias("s"), q["x"].alias("x")))
-    p = p.withColumn("mirrored", F.exists(g.around(both, lambda a, b, c: (a["s"] - b["s"]) * (a["x"] - b["x"]) < 0), lambda x: x))
-    p = p.withColumns({f"low_{c}": F.array_min(g.field("plane", c)) for c in "xz"})
-    p = p.withColumn("flat", F.transform("plane", lambda q: F.struct((q["x"] - F.col("low_x")).alias("x"), (q["z"] - F.col("low_z")).alias("z"))))
-    p = p.withColumns({f"high_{c}": F.array_max(g.field("flat", c)) for c in "xz"})
-    k, m = lit(ppm), lit(2 * margin)
-    p = p.withColumn("dst", F.transform("flat", lambda q: F.struct((F.when(F.col("mirrored"), F.col("high_x") - q["x"]).otherwise(q["x"]) * k + m).alias("x"), (F.when(F.col("mirrored"), F.col("high_z") - q["z"]).otherwise(q["z"]) * k + m).alias("y"))))
-    edge = lambda f, c: f(g.field("dst", c))
-    p = p.withColumns({"win_w": F.floor(edge(F.array_max, "x") + lit(margin)).cast("int"), "win_h": F.floor(edge(F.array_max, "y") + lit(margin)).cast("int")})
-    p = p.withColumns({
-        "crop_x0": F.greatest(F.floor(edge(F.array_min, "x")).cast("int") - margin, F.lit(0)), "crop_y0": F.greatest(F.floor(edge(F.array_min, "y")).cast("int") - margin, F.lit(0)),
-        "crop_x1": F.least(F.ceil(edge(F.array_max, "x")).cast("int") + margin, F.col("win_w")), "crop_y1": F.least(F.ceil(edge(F.array_max, "y")).cast("int") + margin, F.col("win_h"))})
-    return p.select(*FACE, "real", F.when(F.col("real"), F.col("mirrored")).alias("mirrored"), F.when(F.col("real"), F.col("dst")).alias("dst"),
-                    *[F.when(F.col("real"), F.col(c)).otherwise(F.lit(d)).alias(c) for c, d in (("win_w", 1), ("win_h", 1), ("crop_x0", 0), ("crop_y0", 0), ("crop_x1", 1), ("crop_y1", 1))], "ring")
+    face = W.partitionBy(*FACE)
+    e = p.select(*FACE, "real", F.posexplode(F.arrays_zip("plane", "ring")).alias("seq", "q")).select(*FACE, "real", "seq", "q.plane.x", "q.plane.z", "q.ring.su")
+    step = lambda c: F.col(c) - F.coalesce(F.lead(c).over(face.orderBy("seq")), F.first_value(c).over(face.orderBy("seq")))
+    e = e.withColumn("mirrored", step("su") * step("x") < 0).withColumn("mirrored", F.bool_or("mirrored").over(face))
+    e = e.withColumns({c: F.col(c) - F.min(c).over(face) for c in "xz"})
+    turn = lambda c: (F.when(F.col("mirrored"), F.max(c).over(face) - F.col(c)).otherwise(F.col(c)) * lit(ppm) + lit(2 * margin))
+    e = e.withColumns({"dx": turn("x"), "dy": turn("z")})
+    d = e.groupBy(*FACE).agg(F.first("real").alias("real"), F.first("mirrored").alias("mirrored"), g.pack("seq", "dx", "dy").alias("dst"), *[f(c).alias(f"{n}_{c}") for c in ("dx", "dy") for n, f in (("min", F.min), ("max", F.max))])
+    d = d.withColumns({"win_w": F.floor(F.col("max_dx") + lit(margin)).cast("int"), "win_h": F.floor(F.col("max_dy") + lit(margin)).cast("int")})
+    d = d.withColumns({
+        "crop_x0": F.greatest(F.floor("min_dx").cast("int") - margin, F.lit(0)), "crop_y0": F.greatest(F.floor("min_dy").cast("int") - margin, F.lit(0)),
+        "crop_x1": F.least(F.ceil("max_dx").cast("int") + margin, F.col("win_w")), "crop_y1": F.least(F.ceil("max_dy").cast("int") + margin, F.col("win_h"))})
+    sizes = (("win_w", 1), ("win_h", 1), ("crop_x0", 0), ("crop_y0", 0), ("crop_x1", 1), ("crop_y1", 1))
+    return d.select(*FACE, "real", F.when(F.col("real"), F.col("mirrored")).alias("mirrored"), F.when(F.col("real"), F.col("dst")).alias("dst"), *[F.when(F.col("real"), F.col(c)).otherwise(F.lit(n)).alias(c) for c, n in sizes])
 
 
 def letterbox(rect: DataFrame, size: int = 256, overlap: float = 0.1, low: int = 16, high: int = 256, w: str = "rw", h: str = "rh") -> DataFrame:

@@ -375,7 +375,7 @@ dst as (select p.bldg_id, p.face_no, p.seq, mirrored, (case when mirrored then (
 def rectified_polygon(spark, sf_dir):
     """G9 G11."""
     r = rectify.rectified(fixtures.table(spark, sf_dir, "tex_corner"))
-    return r.select(*FACE, F.posexplode("dst").alias("seq", "p")).select(*FACE, "seq", _r("p.x", 4).alias("dx"), _r("p.y", 4).alias("dy"))
+    return r.select(*FACE, F.posexplode("dst").alias("seq", "p")).select(*FACE, "seq", _r("p.dx", 4).alias("dx"), _r("p.dy", 4).alias("dy"))
 
 
 @query(f"with {_PLANE} select bldg_id, face_no, mirrored from mir", "tex_corner")
@@ -393,14 +393,14 @@ def plane_extent(spark, sf_dir):
 
 @query("""with p as (select bldg_id, face_no, max(su) filter (seq=0) x1, max(sv) filter (seq=0) y1, max(su) filter (seq=1) x2, max(sv) filter (seq=1) y2, max(su) filter (seq=2) x3, max(sv) filter (seq=2) y3, max(x) filter (seq=0) u1, max(x) filter (seq=1) u2, max(x) filter (seq=2) u3, max(z) filter (seq=0) v1, max(z) filter (seq=1) v2, max(z) filter (seq=2) v3 from tex_corner group by all),
 d as (select *, x1*(y2-y3) - y1*(x2-x3) + (x2*y3 - x3*y2) det from p)
-select bldg_id, face_no, round((u1*(y2-y3) + u2*(y3-y1) + u3*(y1-y2)) / det, 6) a, round((u1*(x3-x2) + u2*(x1-x3) + u3*(x2-x1)) / det, 6) b, round((u1*(x2*y3-x3*y2) + u2*(x3*y1-x1*y3) + u3*(x1*y2-x2*y1)) / det, 4) c,
- round((v1*(y2-y3) + v2*(y3-y1) + v3*(y1-y2)) / det, 6) d, round((v1*(x3-x2) + v2*(x1-x3) + v3*(x2-x1)) / det, 6) e, round((v1*(x2*y3-x3*y2) + v2*(x3*y1-x1*y3) + v3*(x1*y2-x2*y1)) / det, 4) f from d""", "tex_corner")
+select bldg_id, face_no, round((u1*(y2-y3) + u2*(y3-y1) + u3*(y1-y2)) / det, 6) + 0e0 a, round((u1*(x3-x2) + u2*(x1-x3) + u3*(x2-x1)) / det, 6) + 0e0 b, round((u1*(x2*y3-x3*y2) + u2*(x3*y1-x1*y3) + u3*(x1*y2-x2*y1)) / det, 4) + 0e0 c,
+ round((v1*(y2-y3) + v2*(y3-y1) + v3*(y1-y2)) / det, 6) + 0e0 d, round((v1*(x3-x2) + v2*(x1-x3) + v3*(x2-x1)) / det, 6) + 0e0 e, round((v1*(x2*y3-x3*y2) + v2*(x3*y1-x1*y3) + v3*(x1*y2-x2*y1)) / det, 4) + 0e0 f from d""", "tex_corner")
 def affine_from_points(spark, sf_dir):
     """G14."""
     t = fixtures.table(spark, sf_dir, "tex_corner").groupBy(*FACE).agg(g.pack("seq", "x", "z", "su", "sv").alias("r"))
     p = [F.get("r", F.lit(i)) for i in range(3)]
     m = g.affine([(q["su"], q["sv"]) for q in p], [(q["x"], q["z"]) for q in p])
-    return t.select(*FACE, *[_r(c, 4 if n in "cf" else 6).alias(n) for n, c in zip("abcdef", m)])
+    return t.select(*FACE, *[(_r(c, 4 if n in "cf" else 6) + lit(0)).alias(n) for n, c in zip("abcdef", m)])
 
 
 @query("""with s as (select bldg_id, face_no, rw * 9 rw, rh * 11 rh from rect_size), b as (select *, case when rh > rw then cast(round_even(rw * (256e0 / rh), 0) as int) else 256 end box_w, case when rh > rw then 256 else cast(round_even(rh * (256e0 / rw), 0) as int) end box_h, cast(1 + greatest(0, ceil((rw - 256) / 230e0)) as int) n_w, cast(1 + greatest(0, ceil((rh - 256) / 230e0)) as int) n_h from s)
@@ -416,13 +416,13 @@ _ITEMS = "it as (select bldg_id, face_no, rw w, rh h, row_number() over (partiti
 _POW = "case when {0} <= 1 then 1 when {0} <= 2 then 2 when {0} <= 4 then 4 when {0} <= 8 then 8 when {0} <= 16 then 16 when {0} <= 32 then 32 when {0} <= 64 then 64 when {0} <= 128 then 128 when {0} <= 256 then 256 else 512 end"
 
 
-@query(f"""with recursive it as (select bldg_id, face_no, rw w, rh h, row_number() over (partition by bldg_id order by face_no) i from rect_size),
+@query(f"""with it as (select bldg_id, face_no, rw w, rh h, row_number() over (partition by bldg_id order by face_no) i from rect_size),
 f1 as (select bldg_id, cast(0 as bigint) i, 0 x, 0 y, 0 hi, 0 wide from it where i = 1 union all
   select f.bldg_id, it.i, case when 24 < x + w then w else x + w end, case when 24 < x + w then y + hi else y end, case when 24 < x + w then h else greatest(hi, h) end, greatest(wide, case when 24 < x + w then w else x + w end) from f1 f join it on it.bldg_id = f.bldg_id and it.i = f.i + 1),
 sz as (select bldg_id, {_POW.format('arg_max(wide, i)')} atlas_w, {_POW.format('(arg_max(y, i) + arg_max(hi, i))')} atlas_h from f1 group by bldg_id),
 f2 as (select bldg_id, cast(0 as bigint) i, -1 face_no, 0 x, 0 y, 0 hi, 0 px, 0 py from it where i = 1 union all
   select f.bldg_id, it.i, it.face_no, case when atlas_w < x + w then w else x + w end, case when atlas_w < x + w then y + hi else y end, case when atlas_w < x + w then h else greatest(hi, h) end, case when atlas_w < x + w then 0 else x end, case when atlas_w < x + w then y + hi else y end from f2 f join it on it.bldg_id = f.bldg_id and it.i = f.i + 1 join sz on sz.bldg_id = f.bldg_id)
-select f2.bldg_id, face_no, cast(px as bigint) off_x, cast(py as bigint) off_y, cast(atlas_w as bigint) atlas_w, cast(atlas_h as bigint) atlas_h from f2 join sz using (bldg_id) where i > 0""".replace("with recursive it as", "with it as"), "rect_size")
+select f2.bldg_id, face_no, cast(px as bigint) off_x, cast(py as bigint) off_y, cast(atlas_w as bigint) atlas_w, cast(atlas_h as bigint) atlas_h from f2 join sz using (bldg_id) where i > 0""", "rect_size")
 def shelf_pack(spark, sf_dir):
     """W7 C12, with a width of 24 so that shelves wrap."""
     return packing.shelf_pack(fixtures.table(spark, sf_dir, "rect_size"), 24)
@@ -463,8 +463,9 @@ def _placed(spark, sf_dir) -> DataFrame:
 @query(f"""with {_HIDE}, roofs as (select s.bldg_id, s.face_no, s.photo_id, s.area, 0 kd, row_number() over (partition by s.bldg_id, s.face_no order by area desc, photo_id desc) k from seen s join kind using (bldg_id, face_no) where element = 'Roof' and n_in = n),
 walls as (select bldg_id, wall_no as face_no, photo_id, area, 1 kd, row_number() over (partition by bldg_id, wall_no order by area desc, photo_id desc) k from hid where not hidden),
 chosen as (select * from roofs where k = 1 union all select * from walls where k = 1),
-ord as (select *, kd * 100 + face_no use_, min(kd * 100 + face_no) over (partition by bldg_id, photo_id) fu from chosen)
-select bldg_id, face_no, photo_id, cast(row_number() over (partition by bldg_id order by fu, use_) as int) order_no from ord""", "corner", "photo")
+ord as (select *, kd * 100 + face_no use_, min(kd * 100 + face_no) over (partition by bldg_id, photo_id) fu from chosen),
+num as (select *, cast(row_number() over (partition by bldg_id order by fu, use_) as int) order_no from ord)
+select bldg_id, face_no, photo_id, order_no from num where area <> 0""", "corner", "photo")
 def atlas_order(spark, sf_dir):
     """Roofs and walls in the order in which they enter the atlas."""
     return _placed(spark, sf_dir).select(*FACE, "photo_id", "order_no")
@@ -638,14 +639,17 @@ def homography(spark, sf_dir):
     """The largest error of the fitted map over each face's corners; small by construction of the rings."""
     import numpy as np
 
-    def fit(pdf):
-        src, dst = pdf[["su", "sv"]].to_numpy(float), pdf[["x", "z"]].to_numpy(float) if pdf.z.nunique() > 1 else pdf[["x", "y"]].to_numpy(float)
-        h = raster.homography(src, dst)
-        q = np.hstack([src, np.ones((len(src), 1))]) @ h.T
-        return pdf.head(1)[["bldg_id", "face_no"]].assign(error=float(np.abs(q[:, :2] / q[:, 2:] - dst).max()))
-
-    t = fixtures.table(spark, sf_dir, "tex_corner").where("face_no in (0, 5)")
-    return t.groupBy(*FACE).applyInPandas(lambda pdf: fit(pdf.sort_values("seq")), "bldg_id long, face_no int, error double")
+    def fit(batches):
+        for pdf in batches:
+            error = []
+            for r in pdf["r"]:
+                src, dst = np.array([[p["su"], p["sv"]] for p in r]), np.array([[p["x"], p["y"]] for p in r])
+                q = np.hstack([src, np.ones((len(src), 1))]) @ raster.homography(src, dst).T
+                error.append(float(np.abs(q[:, :2] / q[:, 2:] - dst).max()))
+            yield pdf[["bldg_id", "face_no"]].assign(error=error)
+
+    t = fixtures.table(spark, sf_dir, "tex_corner").where("face_no in (0, 5)").groupBy(*FACE).agg(g.pack("seq", "x", "y", "su", "sv").alias("r"))
+    return t.mapInPandas(fit, "bldg_id long, face_no int, error double")
 
 
 @query()

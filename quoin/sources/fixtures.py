@@ -62,7 +62,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ctes(*names: str) -> str:
-    """The views as the beginning of a DuckDB query: `with a as (...), b as (...)`."""
+    """The views as the beginning of a DuckDB query: `with recursive a as (...), b as (...)`."""
     need: list[str] = []
 
     def add(n: str) -> None:
@@ -74,4 +74,4 @@ def ctes(*names: str) -> str:
 
     for n in names:
         add(n)
-    return "with " + ", ".join(f"{n} as ({VIEWS[n]})" for n in need)
+    return "with recursive " + ", ".join(f"{n} as ({VIEWS[n]})" for n in need)
