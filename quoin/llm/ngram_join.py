@@ -13,7 +13,7 @@ from .components import components
 from .shared import blocks_for, digest, settle, text_bytes
 from .textkernel import U
 
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 6 << 20
 #: Shingles that one task holds as prefix trees; larger clusters are joined piece by piece.
 PIECE_TOKENS = 1 << 19
 SETS = "k binary, n_shingles long, tokens binary"

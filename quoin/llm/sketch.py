@@ -55,7 +55,7 @@ def distinct_texts(docs: DataFrame, blocks: int) -> DataFrame:
         schema = pa.schema([("block", pa.int32()), ("k", pa.binary()), ("n", pa.int32()), ("text", pa.string())])
         for batch in batches:
             data, offsets = tk.buffer(batch.column(0))
-            view, keys, rows = memoryview(data.tobytes()), [], []
+            view, keys, rows = memoryview(data), [], []
             for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
                 k = hashlib.md5(view[a:b]).digest()
                 if k in seen:

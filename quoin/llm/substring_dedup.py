@@ -16,7 +16,7 @@ from .textkernel import U
 
 RESULT = "k binary, n_words long, n_removed long, kept_sha256 string, spans array<struct<start:long,stop:long>>, kept_text string"
 #: Bytes of text in a block; a block is the unit of Python memory.
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 6 << 20
 EXACT = -1
 
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 
 U = np.uint64
 #: Bytes handled at once; longer buffers are cut at white space.
-SEGMENT = 1 << 22
+SEGMENT = 1 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
