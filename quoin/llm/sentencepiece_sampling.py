@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from . import lattice
 
 #: Characters that are segmented at once.
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 
 
 def _chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
