@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -18,19 +19,31 @@ from .textkernel import U
 SYMBOLS = "#*$%&|<>"
 #: Relative error of the quantile sketch.
 ACCURACY = 0.01
+#: Bytes of text that are counted at once; a longer text is a part of its own.
+PART_BYTES = 1 << 21
 #: For each measure the least spread that a fence allows, whatever the group's own is.
 MEASURES = {"symbols": 0.03, "word_length": 0.3, "dup_lines": 0.12, "repeats": 0.12}
 
 FEATURES = "doc_id long, lang string, source string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long"
 
 
+def parts(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """The rows of batch in order, in slices of about `most` bytes of a string column; texts stay whole."""
+    filled = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(filled, (filled[at - 1] if at else 0) + most, side="right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def features(docs: DataFrame) -> DataFrame:
-    """Counts of each whole text, a batch at a time. A null text has no word and one empty line."""
+    """Counts of each whole text, about PART_BYTES at a time. A null text has no word and one empty line."""
     symbol = np.zeros(256, dtype=bool)
     symbol[list(SYMBOLS.encode())] = True
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in parts(whole, 3, PART_BYTES)):
             text = batch.column(3)
             w = tk.words(text)
             _, offsets = tk.buffer(text)

@@ -4,6 +4,7 @@ import hashlib
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from quoin.llm.language_id import language_id
 from quoin.llm.line_dedup import line_dedup
 from quoin.llm.ngram_join import ngram_join
 from quoin.llm.quality_classifier import score_quality
-from quoin.llm.quality_rules import quality_rules
+from quoin.llm.quality_rules import parts, quality_rules
 from quoin.llm.sentencepiece_sampling import decode, encode
 from quoin.llm.source_mix import mix_sources
 from quoin.llm.substring_dedup import substring_dedup
@@ -162,3 +163,11 @@ def test_sampled_pieces(docs):
     assert sorted(r.ids_sha256 for r in one) != sorted(r.ids_sha256 for r in encode(docs, seed=2).collect())
     back = decode(encode(docs, seed=1)).collect()
     assert sorted((str(r.doc_id), r.text) for r in back) == sorted((str(d), t or "") for d, t, *_ in ROWS)
+
+
+@pytest.mark.parametrize("most", [1, 5, 1000])
+@pytest.mark.parametrize("texts", [[], [None] * 3, [None, "", "ab", None, "x" * 100, "ééé", "a b"]])
+def test_parts_keep_every_row(texts, most):
+    batch = pa.record_batch([pa.array(texts, pa.string())], names=["text"])
+    for rows in (batch, batch.slice(len(texts) // 2)):
+        assert [x for part in parts(rows, 0, most) for x in part.to_pylist()] == rows.to_pylist()
