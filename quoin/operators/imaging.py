@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -13,6 +15,8 @@ from .scale import broadcast_checked
 FACE = ["bldg_id", "face_no"]
 _PHOTO = ["cx", "cy", "cz", "w", "h", "sensor_w", "sensor_h", "f", "ppx", "ppy"]
 ORTHO_WEIGHT = 2.0
+#: A footprint of this many units or more counts as one without bounds.
+_WIDEST = 1e12
 
 
 def oriented(photo: DataFrame, mode: str = "xyz") -> DataFrame:
@@ -31,12 +35,65 @@ def in_photos(faces: DataFrame, photo: DataFrame, distortion: tuple[float, float
 
     The photos are broadcast if they are few enough to be checked so; the faces stay where they are.
     """
-    p = oriented(photo).select("photo_id", F.struct(*_PHOTO, *[f"r{i}{j}" for i in (1, 2, 3) for j in (1, 2, 3)]).alias("photo"))
     shift = tuple(lit(x) for x in distortion) if distortion else None
-    pairs = faces.crossJoin(broadcast_checked(p))
-    seen = pairs.withColumn("image", g.project(F.col("ring"), F.col("photo"), shift))
+    return _projected(faces.crossJoin(broadcast_checked(_packed(photo))), faces.columns, shift)
+
+
+def _packed(photo: DataFrame) -> DataFrame:
+    return oriented(photo).select("photo_id", F.struct(*_PHOTO, *[f"r{i}{j}" for i in (1, 2, 3) for j in (1, 2, 3)]).alias("photo"))
+
+
+def _projected(pairs: DataFrame, columns: list[str], shift: tuple | None = None, where=None) -> DataFrame:
+    image = g.project(F.col("ring"), F.col("photo"), shift)
+    seen = pairs.withColumn("image", image if where is None else F.when(where, image))
     inside = F.size(F.filter("image", lambda q: g.in_image(q, F.col("photo.w"), F.col("photo.h"))))
-    return seen.select(*faces.columns, "photo_id", "image", inside.alias("n_in"), F.col("photo.w").alias("img_w"), F.col("photo.h").alias("img_h"))
+    return seen.select(*columns, "photo_id", "image", inside.alias("n_in"), F.col("photo.w").alias("img_w"), F.col("photo.h").alias("img_h"))
+
+
+def _footprints(photo: DataFrame, low: float, high: float) -> DataFrame:
+    """Photos with the box of all that each shows between two heights; NaN where the rays of its corners point both up and down."""
+    @F.pandas_udf("x1 double, x2 double, y1 double, y2 double")
+    def box(p: pd.DataFrame) -> pd.DataFrame:
+        v = {c: p[c].to_numpy(dtype=float, na_value=np.nan) for c in p.columns}
+        with np.errstate(all="ignore"):
+            a = (v["ppx"] - np.array([[-0.5], [0.5], [-0.5], [0.5]]) * v["sensor_w"]) / v["f"]
+            b = (v["ppy"] - np.array([[-0.5], [-0.5], [0.5], [0.5]]) * v["sensor_h"]) / v["f"]
+            dx, dy, dz = (v[f"r{i}1"] * a + v[f"r{i}2"] * b + v[f"r{i}3"] for i in (1, 2, 3))
+            one_way = (dz > 0).all(axis=0) | (dz < 0).all(axis=0)
+            t = np.concatenate([(z - v["cz"]) / dz for z in (low, high)])
+            x, y = v["cx"] + t * np.tile(dx, (2, 1)), v["cy"] + t * np.tile(dy, (2, 1))
+        return pd.DataFrame({f"{n}{k}": np.where(one_way, f(w, axis=0), np.nan) for n, w in (("x", x), ("y", y)) for k, f in ((1, np.min), (2, np.max))})
+
+    return photo.withColumn("box", box("photo"))
+
+
+def in_view(faces: DataFrame, photo: DataFrame) -> DataFrame:
+    """J1, G2 for rings that a photo may show whole: what `in_photos` gives, without pairs that can't be so.
+
+    A photo's footprint is a box on the ground, from the rays of its corners down to the least and
+    the greatest height of the faces. Footprints are put on a grid, each face in the cell of its
+    first corner, and they meet by an equi-join on cells. A photo whose footprint has no bounds, or
+    is very much wider than the others, is tried on every face.
+    """
+    z = faces.agg(F.min(F.array_min(g.field("ring", "z"))).alias("low"), F.max(F.array_max(g.field("ring", "z"))).alias("high")).first()
+    low, high = (float("nan") if v is None else v for v in z)
+    p = _footprints(_packed(photo), low, high).withColumn("side", F.greatest(F.col("box.x2") - F.col("box.x1"), F.col("box.y2") - F.col("box.y1")))
+    bounded = F.col("side") < lit(_WIDEST)  # not so for NaN, which Spark holds to be the greatest
+    cell = max(p.where(bounded).agg(F.percentile_approx("side", 0.5).alias("cell")).first()["cell"] or 0.0, 1e-3) / 2
+    fits = F.coalesce(bounded & (F.col("side") <= lit(100 * cell)), F.lit(False))
+    pad = F.col("side") * lit(1e-6) + lit(1e-3)
+    near = p.where(fits).select("photo_id", "photo", *[(F.col(f"box.{n}{k}") + (pad if k == 2 else -pad)).alias(f"_{n}{k}") for n in "xy" for k in (1, 2)])
+    for n in "xy":
+        near = near.withColumn(f"_g{n}", F.explode(F.sequence(F.floor(F.col(f"_{n}1") / lit(cell)), F.floor(F.col(f"_{n}2") / lit(cell)))))
+    first = F.get("ring", F.lit(0))
+    put = faces.withColumns({f"_g{n}": F.floor(first[n] / lit(cell)) for n in "xy"})
+    within = F.forall("ring", lambda q: q["x"].between(F.col("_x1"), F.col("_x2")) & q["y"].between(F.col("_y1"), F.col("_y2")))
+    # asked twice: a later filter on the image moves into the join, where it must not project pairs that are not within
+    seen = _projected(put.join(near, ["_gx", "_gy"]).where(within), faces.columns, where=within)
+    wide = p.where(~fits).select("photo_id", "photo")
+    if wide.head(1):
+        seen = seen.unionByName(_projected(faces.crossJoin(broadcast_checked(wide)), faces.columns))
+    return seen
 
 
 def mosaic(ortho: DataFrame) -> DataFrame:
@@ -117,7 +174,7 @@ def hidden(wall: F.Column, common: F.Column, image: F.Column, roof: F.Column, ro
 
 def wall_candidates(classed: DataFrame, adjacent: DataFrame, photo: DataFrame) -> DataFrame:
     """Walls in the photos that show all of the wall and of its roof and do not hide it."""
-    seen = in_photos(classed, photo)
+    seen = in_view(classed, photo)
     walls = visible(seen.where("element = 'Wall'")).withColumnRenamed("face_no", "wall_no")
     roofs = seen.where((F.col("element") == "Roof") & (F.col("n_in") == F.size("image"))).select("bldg_id", F.col("face_no").alias("roof_no"), "photo_id", F.col("ring").alias("roof"), F.col("image").alias("roof_image"))
     both = walls.join(adjacent, ["bldg_id", "wall_no"]).join(roofs, ["bldg_id", "roof_no", "photo_id"])

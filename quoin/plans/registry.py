@@ -84,7 +84,7 @@ kind as (select bldg_id, face_no, case when abs(nz) > cos(radians(1e0)) and low
 def roof_best_photo(spark, sf_dir):
     """For every roof the photo that shows all of it at the most pixels."""
     roofs = faces.classify(_rings(spark, sf_dir)).where("element = 'Roof'")
-    seen = imaging.visible(imaging.in_photos(roofs, fixtures.table(spark, sf_dir, "photo")))
+    seen = imaging.visible(imaging.in_view(roofs, fixtures.table(spark, sf_dir, "photo")))
     return imaging.best(imaging.candidates(seen)).select(*FACE, "photo_id", _r("area", 4).alias("area"))
 
 
@@ -130,7 +130,7 @@ def projected_distorted(spark, sf_dir):
 @query(f"with {_SEEN} select bldg_id, face_no, photo_id, cast(n_in as int) n_in, round(area, 4) area from seen where n_in = n", "corner", "photo")
 def polygon_area(spark, sf_dir):
     """A1, A2, F5."""
-    return imaging.visible(imaging.in_photos(_rings(spark, sf_dir), fixtures.table(spark, sf_dir, "photo"))).select(*FACE, "photo_id", "n_in", _r("area", 4).alias("area"))
+    return imaging.visible(imaging.in_view(_rings(spark, sf_dir), fixtures.table(spark, sf_dir, "photo"))).select(*FACE, "photo_id", "n_in", _r("area", 4).alias("area"))
 
 
 @query(f"""with {_SEEN}, bx as (select *, cast(floor(u0) as int) a, cast(floor(v0) as int) b, cast(ceil(u1) as int) c, cast(ceil(v1) as int) d from seen where n_in = n),
@@ -138,7 +138,7 @@ m as (select *, case when a >= 2 and b >= 2 and c + 2 < w and d + 2 < h then 2 e
 select bldg_id, face_no, photo_id, margin, a - margin min_x, b - margin min_y, c - a + 1 + 2 * margin box_w, d - b + 1 + 2 * margin box_h from m""", "corner", "photo")
 def polygon_bbox(spark, sf_dir):
     """A4, F19."""
-    seen = imaging.visible(imaging.in_photos(_rings(spark, sf_dir), fixtures.table(spark, sf_dir, "photo")))
+    seen = imaging.visible(imaging.in_view(_rings(spark, sf_dir), fixtures.table(spark, sf_dir, "photo")))
     return imaging.boxes(seen).select(*FACE, "photo_id", "margin", "min_x", "min_y", "box_w", "box_h")
 
 
@@ -161,7 +161,7 @@ select bldg_id, face_no, photo_id, is_ortho, round(area, 4) area from k where k
 def best_image_with_ortho(spark, sf_dir):
     """Photo or mosaic for every roof."""
     roofs = faces.classify(_rings(spark, sf_dir)).where("element = 'Roof'")
-    photos = imaging.visible(imaging.in_photos(roofs, fixtures.table(spark, sf_dir, "photo")))
+    photos = imaging.visible(imaging.in_view(roofs, fixtures.table(spark, sf_dir, "photo")))
     orthos = imaging.visible(imaging.in_mosaic(roofs, fixtures.table(spark, sf_dir, "ortho")))
     return imaging.best(imaging.candidates(photos, orthos)).select(*FACE, "photo_id", "is_ortho", _r("area", 4).alias("area"))
 
@@ -452,7 +452,7 @@ def _placed(spark, sf_dir) -> DataFrame:
     rings = _rings(spark, sf_dir)
     classed = faces.classify(rings)
     photo = fixtures.table(spark, sf_dir, "photo")
-    roofs = imaging.candidates(imaging.visible(imaging.in_photos(classed.where("element = 'Roof'"), photo)))
+    roofs = imaging.candidates(imaging.visible(imaging.in_view(classed.where("element = 'Roof'"), photo)))
     walls = imaging.candidates(imaging.wall_candidates(classed, faces.adjacency(classed), photo).where(~F.col("hidden")))
     chosen = imaging.best(roofs.select(*walls.columns[:0], *[c for c in roofs.columns if c in walls.columns]).unionByName(walls.select(*[c for c in roofs.columns if c in walls.columns])))
     sized = packing.registered(imaging.boxes(chosen.join(classed.select(*FACE, "element"), FACE)))

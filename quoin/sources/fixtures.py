@@ -22,7 +22,7 @@ select s_suppkey as photo_id, (s_suppkey % 10) * 80e0 as cx, floor(s_suppkey / 1
   500e0 + s_nationkey as cz, s_nationkey / 10e0 - 12e-1 as omega_deg, s_nationkey / 12e0 - 1e0 as phi_deg,
   s_suppkey * 7e0 as kappa_deg, 6000 as w, 4000 as h, 36e0 as sensor_w, 24e0 as sensor_h, 50e0 as f,
   0e0 as ppx, 0e0 as ppy
-from supplier where s_suppkey < 20
+from supplier
 """
 ORTHO = """
 select r_regionkey as ortho_id, r_regionkey * 160e0 as l, 0e0 as b, (r_regionkey + 1) * 160e0 as r, 1000e0 as t,
