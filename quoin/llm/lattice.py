@@ -21,6 +21,7 @@ from .vocabulary import SPACE, vocabulary
 _SPACE = ord(SPACE)
 #: Stands for a space sign that is in the text itself: it is no piece, so its bytes are written.
 _OWN_SIGN = 0x110000
+_MOST = np.nextafter(np.float32(1), np.float32(0))
 _B = 0x9E3779B97F4A7C55 * 5 + 2
 
 
@@ -162,8 +163,8 @@ def sample(texts: list[str], keys: np.ndarray, model: str, alpha: float) -> tupl
     rows = np.array(found)
     table, cut = np.concatenate(by_length), np.cumsum([0] + [len(x) for x in by_length])
     while len(spot):
-        draw = _uniform(key[spot], offset[spot])
-        length = 1 + np.count_nonzero(steps[state] <= draw.astype(np.float32)[:, None], axis=1)
+        draw = np.minimum(_uniform(key[spot], offset[spot]).astype(np.float32), _MOST)  # rounding may give 1, which no share is above
+        length = 1 + np.count_nonzero(steps[state] <= draw[:, None], axis=1)
         np.minimum(length, len(found), out=length)
         piece = rows[length - 1, state]
         ids[spot - length + 1] = np.where(piece > 0, table[cut[length] + piece], -2)
