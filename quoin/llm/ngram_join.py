@@ -33,11 +33,11 @@ def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
     return out
 
 
-def ngram_join(docs: DataFrame, size: int = 5, percent: int = 80, block_bytes: int = BLOCK_BYTES, piece_tokens: int = PIECE_TOKENS) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for each row of docs.
+def ngram_join(docs: DataFrame, size: int = 5, percent: int = 80, block_bytes: int = BLOCK_BYTES, piece_tokens: int = PIECE_TOKENS, with_links: bool = False) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for each row of docs, and n_links, its linked other rows, if with_links.
 
     Two documents link when 100 * shared shingles >= percent * all their shingles; component_id is
-    the least doc_id reachable by links. No link between different texts is lost:
+    the least doc_id reachable by links. No component loses a link that it needs, and n_links counts every link:
 
     1. Copies of a text are folded. The corpus sketch bounds every shingle's document count from
        above; a set with fewer than percent % of its shingles seen elsewhere links with nothing.
@@ -47,7 +47,8 @@ def ngram_join(docs: DataFrame, size: int = 5, percent: int = 80, block_bytes: i
     3. In each such cluster the sets form a prefix tree; each set is searched with shared partial
        overlaps and remaining-length bounds (`trie`). A cluster over piece_tokens shingles is cut by
        hash into pieces, and every pair of pieces is joined by one task. Tasks return spanning
-       links only, never all pairs; components of those links are the result.
+       links only, never all pairs; components of those links are the result. For n_links a task
+       checks all candidates and returns one sum for each set; copies of a text count each.
 
     Null texts and texts without words have no shingles and link with nothing, not even each other.
     Repeated rows link by their equal text. A null doc_id is never the least one. Other columns are
@@ -97,18 +98,25 @@ def ngram_join(docs: DataFrame, size: int = 5, percent: int = 80, block_bytes: i
     def linked(table: pa.Table) -> pa.Table:
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
         by_cluster: dict[int, list[tuple]] = {}
-        for row in zip(table.column("cluster").to_pylist(), table.column("node").to_pylist(), table.column("n_shingles").to_pylist(), table.column("tokens").to_pylist(), table.column("piece").to_pylist()):
+        for row in zip(table.column("cluster").to_pylist(), table.column("node").to_pylist(), table.column("n_shingles").to_pylist(), table.column("tokens").to_pylist(), table.column("piece").to_pylist(), table.column("copies").to_pylist()):
             by_cluster.setdefault(row[0], []).append(row)
-        a, b = [], []
+        a, b, n = [], [], []
         for rows in by_cluster.values():
             rows.sort(key=lambda r: (r[2], r[1]))
             entries = [trie.Entry(r[1], r[2], np.frombuffer(r[3], dtype="<i8").tolist()) for r in rows]
             left = [n for n, r in enumerate(rows) if r[4] == i]
             right = left if i == j else [n for n, r in enumerate(rows) if r[4] == j]
-            for x, y in trie.join(entries, left, right, percent):
+            found, sums = trie.count(entries, [r[5] for r in rows], left, right, percent) if with_links else (trie.join(entries, left, right, percent), [])
+            for x, y in found:
                 a.append(entries[x].node)
                 b.append(entries[y].node)
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+                n.append(0)
+            for x, many in enumerate(sums):
+                if many:
+                    a.append(entries[x].node)
+                    b.append(entries[x].node)
+                    n.append(many)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "n": pa.array(n, pa.int64())})
 
     by_block = lambda df: df.groupBy("block")
     rough = by_block(texts).applyInArrow(first, sketch.MESSAGE).groupBy("row", "slice").applyInArrow(sketch.merge, sketch.MESSAGE)
@@ -125,12 +133,21 @@ def ngram_join(docs: DataFrame, size: int = 5, percent: int = 80, block_bytes: i
     dealt = plan.select("*", F.explode(F.sequence(F.lit(0), F.greatest("pieces", F.lit(1)) - 1)).alias("other")).select(
         "cluster", "node", "piece", F.least("piece", "other").alias("i"), F.greatest("piece", "other").alias("j"),
         F.when(F.col("pieces") > 1, F.xxhash64("cluster")).otherwise(F.pmod(F.xxhash64("cluster"), F.lit(bins))).alias("bin"))
-    links = near.select("node", "n_shingles", "tokens").join(dealt, "node").groupBy("bin", "i", "j").applyInArrow(linked, "a long, b long")
-    roots = components(links)
-
     keyed = docs.select("doc_id", digest(F.col("text")).alias("k"))
-    ids = keyed.groupBy("k").agg(F.min("doc_id").alias("least"))
+    ids = keyed.groupBy("k").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
+    given = near.join(ids, "k") if with_links else near.withColumn("copies", F.lit(1).cast("long"))
+    links = given.select("node", "n_shingles", "tokens", "copies").join(dealt, "node").groupBy("bin", "i", "j").applyInArrow(linked, "a long, b long, n long")
+    if with_links:
+        links = settle(links, "links")
+    roots = components(links.select("a", "b"))
+
     named = sets.select("k", "n_shingles", "node").join(ids, "k").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    result = named.join(least, "root").select("k", "n_shingles", "component_id")
-    return keyed.join(result, "k").select("doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    result = named.join(least, "root")
+    more = []
+    if with_links:
+        sums = links.where("n > 0").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
+        result = result.join(sums, "node", "left").withColumn("n_links", F.when(F.col("n_shingles") == 0, 0).otherwise(F.col("copies") - 1 + F.coalesce("n", F.lit(0))).cast("long"))
+        more = ["n_links"]
+    result = result.select("k", "n_shingles", "component_id", *more)
+    return keyed.join(result, "k").select("doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), *more)

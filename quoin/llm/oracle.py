@@ -76,6 +76,12 @@ reach(doc_id, r) as (select doc_id, doc_id from documents union select reach.doc
 select d.doc_id, coalesce(any_value(n.n), 0) n_shingles, min(r) component_id from documents d join reach on reach.doc_id = d.doc_id left join n on n.doc_id = d.doc_id group by d.doc_id
 """
 
+_LINKS, _, _JOINED = OP7_NGRAM_JOIN.rpartition("\nselect ")
+OP7_NGRAM_LINKS = f"""{_LINKS},
+joined as (select {_JOINED})
+select joined.*, coalesce(c, 0) n_links from joined left join (select x, count(*) c from edge group by x) k on k.x = joined.doc_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -84,4 +90,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_quality_rules": OP3_QUALITY_RULES,
         "op5_source_mix": OP5_SOURCE_MIX,
         "op7_ngram_join": OP7_NGRAM_JOIN,
+        "op7_ngram_links": OP7_NGRAM_LINKS,
     }

@@ -49,6 +49,10 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(documents(spark, sf_dir), size=5, percent=80)
 
 
+def op7_ngram_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(documents(spark, sf_dir), size=5, percent=80, with_links=True)
+
+
 def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(documents(spark, sf_dir))
 
@@ -62,5 +66,5 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_substring_dedup, op2_line_dedup, op3_quality_rules, op4_language_id, op5_source_mix, op6_quality_classifier, op7_ngram_join, op8_fingerprint, op9_token_count, op10_sentencepiece)
+    own = (op1_substring_dedup, op2_line_dedup, op3_quality_rules, op4_language_id, op5_source_mix, op6_quality_classifier, op7_ngram_join, op7_ngram_links, op8_fingerprint, op9_token_count, op10_sentencepiece)
     return {f.__name__: f for f in own}

@@ -157,3 +157,72 @@ def join(entries: list[Entry], left: list[int], right: list[int], percent: int)
             relabel(tree, union)
             mark *= 2
     return links
+
+
+def linked(tree: Branch, entries: list[Entry], q: int, percent: int):
+    """Every set of the tree that links to q, by the bounds of `search` without its short cuts."""
+    a, size, members = entries[q], entries[q].size, entries[q].members
+    place = {t: i for i, t in enumerate(a.tokens)}
+    whole = len(a.tokens)
+    stack = [(tree, 0, 0, 0)]
+    while stack:
+        b, depth, overlap, rest = stack.pop()
+        if 100 * b.high < percent * size or 100 * size < percent * b.low:
+            continue
+        least = max(b.low, -(-percent * size // 100))
+        need = -(-percent * (size + least) // (100 + percent))
+        for t in b.path:
+            depth += 1
+            at = place.get(t)
+            if at is not None:
+                overlap += 1
+                rest = at + 1
+            if overlap + min(b.longest - depth, whole - rest) < need:
+                break
+        else:
+            for i in b.ends:
+                if i != q and (100 + percent) * overlap >= percent * (size + entries[i].size):
+                    yield i
+            for c in b.children:
+                if not c.children and len(c.ends) == 1:
+                    i = c.ends[0]
+                    n = entries[i].size
+                    if i != q and 100 * n >= percent * size and 100 * size >= percent * n and (100 + percent) * len(members & entries[i].members) >= percent * (size + n):
+                        yield i
+                else:
+                    stack.append((c, depth, overlap, rest))
+
+
+def count(entries: list[Entry], copies: list[int], left: list[int], right: list[int], percent: int) -> tuple[list[tuple[int, int]], list[int]]:
+    """Spanning links as of `join`, and for each entry the copies of all entries of the other side (or its own) that link to it."""
+
+    def fold(which: list[int]) -> dict[int, list[int]]:
+        """Entries equal in all their shingles, under the first of them."""
+        first: dict[tuple, int] = {}
+        out: dict[int, list[int]] = {}
+        for i in which:
+            e = entries[i]
+            out.setdefault(first.setdefault(tuple(e.tokens), i) if len(e.tokens) == e.size else i, []).append(i)
+        return out
+
+    alone = left == right
+    held = fold(left)
+    asked = held if alone else fold(right)
+    weight = {q: sum(copies[i] for i in which) for side in (held, asked) for q, which in side.items()}
+    found, links, union = [0] * len(entries), [], Union(len(entries))
+    tree = build(entries, list(held))
+    for q in asked if tree else ():
+        for i in linked(tree, entries, q, percent):
+            found[q] += weight[i]
+            if not alone:
+                found[i] += weight[q]
+            if union.join(q, i):
+                links.append((q, i))
+    n = [0] * len(entries)
+    for side in (held,) if alone else (held, asked):
+        for q, which in side.items():
+            for i in which:
+                n[i] = found[q] + (weight[q] - copies[i] if alone else 0)
+                if alone and i != q:
+                    links.append((q, i))
+    return links, n
