@@ -54,7 +54,7 @@ def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality classifier", quality), ("line dedup", lines), ("n-gram Jaccard join", near_copies), ("source mixing", mixed), ("SentencePiece", pieces)]
 
-#: The classifier and the sampled pieces are not SQL; tests hold run() against brute force.
+#: The classifier and the sampled pieces are not SQL; tests compare columns, row counts and lossless only.
 ORACLE_SQL = None
 
 

@@ -1,6 +1,6 @@
 """SQL that says what the registered queries return, for those that SQL can express.
 
-The rest (4, 6, 8, 9, 10) are tested against brute force, the library, or labels that were held out.
+The rest (4, 6, 8, 9, 10) are tested in part: against the library, enumeration, or labels that were held out.
 """
 
 from __future__ import annotations

@@ -473,7 +473,7 @@ def atlas_order(spark, sf_dir):
 
 @query()
 def atlas_uv(spark, sf_dir):
-    """The whole mapping stage, from corners to texture coordinates; held against its parts in tests."""
+    """The whole mapping stage, from corners to texture coordinates; its rows have no independent test."""
     p = _placed(spark, sf_dir)
     return p.select(*FACE, "photo_id", "off_x", "off_y", "atlas_w", "atlas_h", F.posexplode("uv").alias("seq", "t")).select(*FACE, "photo_id", "seq", "off_x", "off_y", "atlas_w", "atlas_h", _r("t.u").alias("u"), _r("t.v").alias("v"))
 
