@@ -8,6 +8,7 @@ from bisect import bisect_left
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
@@ -19,7 +20,6 @@ LEAST, USUAL, MOST = 16, 48, 192
 #: Zero bits that end a chunk before and after its usual size.
 STRICT, LOOSE = 8, 4
 BLOCK_BYTES = 12 << 20
-ROWS = "bucket int, head boolean, doc_id long, text string"
 RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 _GEAR = (tk.mix(np.arange(256, dtype=U), 23) >> U(32)).astype(np.uint32)
@@ -78,11 +78,42 @@ def edited(text: str, after: str) -> str:
     return text[: len(text) - half] + after[:half]
 
 
-def _bounds(docs: DataFrame, buckets: int) -> np.ndarray:
-    """At most buckets - 1 values of doc_id that split the rows about evenly."""
-    at = [i / buckets for i in range(1, buckets)]
-    found = docs.select(F.col("doc_id").cast("double").alias("d")).where("d is not null").approxQuantile("d", at, 0.25 / buckets) if at else []
-    return np.unique(np.array(found, dtype=np.float64))
+#: Ranges of ids, for each block, whose bytes are summed up before they are put together to blocks.
+FINE = 4
+#: Most blocks whose first rows are broadcast, some 60 bytes each.
+MOST_HEADS = 100_000
+
+
+def _bounds(docs: DataFrame, ranges: int) -> np.ndarray:
+    """Values of doc_id that split the rows into about `ranges` ranges; an id that fills a whole range gets one of its own."""
+    at = [i / ranges for i in range(1, ranges)]
+    found = np.sort(docs.select(F.col("doc_id").cast("double").alias("d")).where("d is not null").approxQuantile("d", at, 0.5 / ranges)) if at else np.zeros(0)
+    full = found[1:][found[1:] == found[:-1]] if len(found) else found
+    return np.unique(np.concatenate((found, np.nextafter(full, np.inf))))
+
+
+def _range_of(ids: pa.Array, bounds: np.ndarray) -> np.ndarray:
+    """0 for null ids, then the ranges of ids in order."""
+    x = ids.cast(pa.float64(), safe=False).to_numpy(zero_copy_only=False)
+    return np.where(np.isnan(x), 0, 1 + np.searchsorted(bounds, x, side="right"))
+
+
+def plan(stats: list[tuple[int, int, bool]], ranges: int, block_bytes: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """(first block, parts) of each range, and the number of blocks, from (range, bytes, whether it holds one id only).
+
+    Ranges that follow each other share a block until it is full. A range of one id with more bytes is
+    several blocks, by the hash of the text.
+    """
+    first, parts, block, held = np.zeros(ranges, dtype=np.int64), np.ones(ranges, dtype=np.int64), 0, 0
+    for r, size, one in sorted(stats):
+        n = -(-size // block_bytes) if one else 1
+        if held and (n > 1 or held + size > block_bytes):
+            block, held = block + 1, 0
+        first[r], parts[r] = block, max(1, n)
+        held += max(1, size)
+        if n > 1:
+            block, held = block + n, 0
+    return first, parts, block + 1
 
 
 def fingerprints(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -93,36 +124,47 @@ def fingerprints(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     distinct chunks, each as 48 bits of digest and 16 of length in hex; likeness is containment:
     the share of a fingerprint's bytes that the other has too.
 
-    The next document is the next in ascending doc_id (null first; equal ids by text); the first
-    follows the last. Documents are dealt once, by ranges of doc_id that split the rows evenly; the
-    only state on the driver is one bound for each range. Each range's first document is also sent
-    to the range before it. A row's texts are read whole; a null text is empty. Empty texts have
-    empty fingerprints. A single document is its own next one. Other columns are ignored.
+    The next document is the next in ascending doc_id (null first; equal ids by a hash of the text,
+    then by the text); the first follows the last. Texts are dealt once, to blocks of about
+    block_bytes: ranges of doc_id, and for an id that fills more than one, ranges of that hash. The
+    driver holds a bound and a sum for each range, `FINE` for a block. Each block's first text is
+    also sent to the block before it.
+
+    A row's text is read whole, however long: a text over block_bytes is a block with little else. A
+    null text is empty. Empty texts have empty fingerprints. A single document is its own next one.
+    Repeated rows each have a row, and an empty table gives an empty one. Other columns, of whatever
+    name, are ignored.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    bounds = _bounds(rows, blocks_for(spark, text_bytes(rows), block_bytes))
+    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    bounds = _bounds(rows, FINE * blocks_for(spark, text_bytes(rows), block_bytes))
+
+    def ranged(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array(_range_of(batch.column(0), bounds), pa.int32()), *batch.columns], names=["r", "doc_id", "size"])
+
+    sums = rows.select("doc_id", F.octet_length("text").cast("long").alias("size")).mapInArrow(ranged, "r int, doc_id long, size long")
+    stats = [(s.r, s.size, s.one) for s in sums.groupBy("r").agg(F.sum("size").alias("size"), F.min("doc_id").eqNullSafe(F.max("doc_id")).alias("one")).collect()]
+    first, parts, blocks = plan(stats, len(bounds) + 2, block_bytes)
 
-    def place(batches):
+    def block_of(batches):
         for batch in batches:
-            ids = batch.column(0).cast(pa.float64(), safe=False).to_numpy(zero_copy_only=False)
-            bucket = np.where(np.isnan(ids), 0, np.searchsorted(bounds, ids, side="right"))
-            yield pa.record_batch([pa.array(bucket, pa.int32()), pa.array(np.zeros(len(ids), bool)), batch.column(0), batch.column(1)], names=["bucket", "head", "doc_id", "text"])
-
-    dealt = rows.mapInArrow(place, ROWS)
-    firsts = {r.bucket: r for r in rows.select("doc_id").mapInArrow(_ids_only(bounds), "bucket int, doc_id long").groupBy("bucket").agg(F.min("doc_id").alias("least"), F.count(F.when(F.col("doc_id").isNull(), 1)).alias("nulls")).collect()}
-    order = sorted(firsts)
-    before = {b: order[i - 1] for i, b in enumerate(order)}
-    heads = spark.createDataFrame([(b, before[b], None if firsts[b].nulls else firsts[b].least) for b in order], "b int, previous int, least long")
-    same = (F.col("bucket") == F.col("b")) & F.col("doc_id").eqNullSafe(F.col("least"))
-    head = dealt.join(heads, same).groupBy("previous").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
-    every = dealt.unionByName(head.select(F.col("previous").alias("bucket"), F.lit(True).alias("head"), F.lit(None).cast("long").alias("doc_id"), "text"))
+            r, h = _range_of(batch.column(0), bounds), batch.column(1).to_numpy(zero_copy_only=False).view(U) ^ U(1 << 63)
+            block = first[r] + ((h >> U(32)) * parts[r].astype(U) >> U(32)).astype(np.int64)
+            yield pa.record_batch([pa.array(block, pa.int32()), *batch.columns], names=["block", *batch.schema.names])
+
+    keyed = rows.select("doc_id", F.xxhash64("text").alias("h"), "text")
+    dealt = keyed.mapInArrow(block_of, "block int, doc_id long, h long, text string")
+    heads = keyed.select("doc_id", "h").mapInArrow(block_of, "block int, doc_id long, h long").groupBy("block").agg(F.min(F.struct("doc_id", "h")).alias("s"))
+    heads = heads.select(F.col("block").alias("b"), F.col("s.doc_id").alias("id"), F.col("s.h").alias("hash"), F.coalesce(F.lag("block").over(W.orderBy("block")), F.max("block").over(W.partitionBy())).alias("previous"))
+    same = (F.col("block") == F.col("b")) & F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("h") == F.col("hash"))
+    head = dealt.join(F.broadcast(heads) if blocks <= MOST_HEADS else heads, same).groupBy("previous").agg(F.min("text").alias("text"))
+    every = dealt.select("block", F.lit(False).alias("head"), "doc_id", "h", "text").unionByName(head.select(F.col("previous").alias("block"), F.lit(True).alias("head"), F.lit(None).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("h"), "text"))
 
     def work(table: pa.Table) -> pa.Table:
-        found = list(zip(table.column("head").to_pylist(), table.column("doc_id").to_pylist(), [t or "" for t in table.column("text").to_pylist()]))
-        own = sorted((r[1:] for r in found if not r[0]), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
-        after = [t for h, _, t in found if h]
-        texts = [t for _, t in own] + after[:1]
+        found = list(zip(*(table.column(c).to_pylist() for c in ("head", "doc_id", "h", "text"))))
+        own = sorted((r[1:] for r in found if not r[0]), key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
+        texts = [t for *_, t in own] + [t for head, *_, t in found if head]
         changed = [edited(a, b) for a, b in zip(texts, texts[1:])]
         raw = [t.encode("utf-8", "surrogatepass") for t in texts]
         raw_changed = [t.encode("utf-8", "surrogatepass") for t in changed]
@@ -130,8 +172,8 @@ def fingerprints(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
         get = lambda i: values[at[i] : at[i + 1]]
         n, name = len(own), lambda x: x.astype(">u8").tobytes().hex()
         return pa.table({
-            "doc_id": pa.array([d for d, _ in own], pa.int64()),
-            "n_chars": pa.array([len(t) for _, t in own], pa.int64()),
+            "doc_id": pa.array([r[0] for r in own], pa.int64()),
+            "n_chars": pa.array([len(r[2]) for r in own], pa.int64()),
             "edited_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in raw_changed], pa.string()),
             "fingerprint": pa.array([name(get(i)) for i in range(n)], pa.string()),
             "edited_fingerprint": pa.array([name(get(n + 1 + i)) for i in range(n)], pa.string()),
@@ -139,13 +181,4 @@ def fingerprints(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
             "near_next": pa.array([containment(get(i), get(i + 1)) for i in range(n)], pa.float64()),
         })
 
-    return every.groupBy("bucket").applyInArrow(work, RESULT)
-
-
-def _ids_only(bounds: np.ndarray):
-    def place(batches):
-        for batch in batches:
-            ids = batch.column(0).cast(pa.float64(), safe=False).to_numpy(zero_copy_only=False)
-            yield pa.record_batch([pa.array(np.where(np.isnan(ids), 0, np.searchsorted(bounds, ids, side="right")), pa.int32()), batch.column(0)], names=["bucket", "doc_id"])
-
-    return place
+    return every.groupBy("block").applyInArrow(work, RESULT)
