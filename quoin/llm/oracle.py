@@ -38,16 +38,18 @@ f as (select d.doc_id, lang, source, len(w) n_words, coalesce(list_sum(list_tran
    coalesce(n, 0) n_repeat_words, len(s) n_lines from d left join nrep using (doc_id)),
 b as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words base_failed, n_symbols / nullif(n_words, 0) symbols, word_chars / nullif(n_words, 0) word_length, n_dup_lines / n_lines dup_lines, n_repeat_words / nullif(n_words, 0) repeats from f),
 l as (unpivot (select lang, source, symbols, word_length, dup_lines, repeats from b where not base_failed) on symbols, word_length, dup_lines, repeats into name measure value x),
-k as (select lang, source, measure, case when x > 0 then ceil(ln(x) / ln(1.01e0 / 0.99e0)) end bin, count(*) n from l group by all),
+k as (select lang, source, measure, case when x > 0 then ceil(ln(x) / ln(1.0025e0 / 0.9975e0)) end bin, count(*) n from l group by all),
 lv as (select 0 lv, lang, source, measure, bin, n from k union all select 1, lang, null, measure, bin, sum(n) from k group by all union all select 2, null, null, measure, bin, sum(n) from k group by all),
-c as (select *, sum(n) over (partition by lv, lang, source, measure order by bin nulls first) below, sum(n) over (partition by lv, lang, source, measure) tot, case when bin is null then 0 else 2 / (1.01e0 / 0.99e0 + 1) * pow(1.01e0 / 0.99e0, bin) end v from lv),
-q as (select lv, lang, source, measure, sum(n) n, min(v) filter (below >= 0.25 * tot) a, min(v) filter (below >= 0.75 * tot) b from c group by all),
-fen as (select q0.lang, q0.source, q0.measure, case when q0.n >= 50 then q0.a when q1.n >= 50 then q1.a else q2.a end a, case when q0.n >= 50 then q0.b when q1.n >= 50 then q1.b else q2.b end b
-   from (from q where lv = 0) q0 join (from q where lv = 1) q1 on q1.lang is not distinct from q0.lang and q1.measure = q0.measure join (from q where lv = 2) q2 on q2.measure = q0.measure),
-sp as (select *, greatest(b - a, case measure when 'symbols' then 0.03 when 'word_length' then 0.3 else 0.12 end) spread from fen),
-w as (select lang, source, max(b + 3 * spread) filter (measure = 'symbols') s, max(b + 3 * spread) filter (measure = 'word_length') h, max(a - 3 * spread) filter (measure = 'word_length') lo, max(b + 3 * spread) filter (measure = 'dup_lines') dl, max(b + 3 * spread) filter (measure = 'repeats') r from sp group by all)
+c as (select *, sum(n) over (partition by lv, lang, source, measure order by bin nulls first) below, sum(n) over (partition by lv, lang, source, measure) tot, case when bin is null then 0 else 2 / (1.0025e0 / 0.9975e0 + 1) * pow(1.0025e0 / 0.9975e0, bin) end v from lv),
+q as (select lv, lang, source, measure, sum(n) n, min(v) filter (below >= 0.01e0 * tot) q01, min(v) filter (below >= 0.05e0 * tot) q05, min(v) filter (below >= 0.1e0 * tot) q10, min(v) filter (below >= 0.25e0 * tot) q25, min(v) filter (below >= 0.5e0 * tot) q50,
+   min(v) filter (below >= 0.75e0 * tot) q75, min(v) filter (below >= 0.9e0 * tot) q90, min(v) filter (below >= 0.95e0 * tot) q95, min(v) filter (below >= 0.99e0 * tot) q99 from c group by all),
+sp as (select *, case when q75 > q50 then q75 when q90 > q50 then q90 when q95 > q50 then q95 when q99 > q50 then q99 end up, case when q25 < q50 then q25 when q10 < q50 then q10 when q05 < q50 then q05 when q01 < q50 then q01 end down from q),
+f1 as (select *, up + 5 * (up - q50) hi, down - 5 * (q50 - down) lo from sp),
+fen as (select q0.lang, q0.source, q0.measure, coalesce(case when q0.n >= 50 then q0.hi end, case when q1.n >= 50 then q1.hi end, q2.hi) hi, coalesce(case when q0.n >= 50 then q0.lo end, case when q1.n >= 50 then q1.lo end, q2.lo) lo
+   from (from f1 where lv = 0) q0 join (from f1 where lv = 1) q1 on q1.lang is not distinct from q0.lang and q1.measure = q0.measure join (from f1 where lv = 2) q2 on q2.measure = q0.measure),
+w as (select lang, source, max(hi) filter (measure = 'symbols') s, max(hi) filter (measure = 'word_length') h, max(lo) filter (measure = 'word_length') lo, max(hi) filter (measure = 'dup_lines') dl, max(hi) filter (measure = 'repeats') r from fen group by all)
 select doc_id, cast(n_words as bigint) n_words, cast(word_chars as bigint) word_chars, cast(n_symbols as bigint) n_symbols, cast(n_dup_lines as bigint) n_dup_lines, cast(n_repeat_words as bigint) n_repeat_words, base_failed,
-  coalesce(not base_failed and symbols <= s and word_length <= h and word_length >= lo and dup_lines <= dl and repeats <= r, false) kept
+  not base_failed and coalesce(symbols <= s, true) and coalesce(word_length <= h, true) and coalesce(word_length >= lo, true) and coalesce(dup_lines <= dl, true) and coalesce(repeats <= r, true) kept
 from b left join w on w.lang is not distinct from b.lang and w.source is not distinct from b.source
 """
 
