@@ -137,7 +137,9 @@ def fingerprints(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    bounds = _bounds(rows, FINE * blocks_for(spark, text_bytes(rows), block_bytes))
+    total = text_bytes(rows)
+    blocks = blocks_for(spark, total, block_bytes)
+    bounds = _bounds(rows, FINE * blocks)
 
     def ranged(batches):
         for batch in batches:
@@ -145,7 +147,7 @@ def fingerprints(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
 
     sums = rows.select("doc_id", F.octet_length("text").cast("long").alias("size")).mapInArrow(ranged, "r int, doc_id long, size long")
     stats = [(s.r, s.size, s.one) for s in sums.groupBy("r").agg(F.sum("size").alias("size"), F.min("doc_id").eqNullSafe(F.max("doc_id")).alias("one")).collect()]
-    first, parts, blocks = plan(stats, len(bounds) + 2, block_bytes)
+    first, parts, blocks = plan(stats, len(bounds) + 2, -(-total // blocks) + 1)
 
     def block_of(batches):
         for batch in batches:
@@ -162,6 +164,7 @@ def fingerprints(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     every = dealt.select("block", F.lit(False).alias("head"), "doc_id", "h", "text").unionByName(head.select(F.col("previous").alias("block"), F.lit(True).alias("head"), F.lit(None).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("h"), "text"))
 
     def work(table: pa.Table) -> pa.Table:
+        tk.lean()
         found = list(zip(*(table.column(c).to_pylist() for c in ("head", "doc_id", "h", "text"))))
         own = sorted((r[1:] for r in found if not r[0]), key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
         texts = [t for *_, t in own] + [t for head, *_, t in found if head]

@@ -150,16 +150,15 @@ def language_id(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, most:
     model = fit(*training_sample(docs, per_language, most))
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                names, scores = ["und"] * len(texts), [0.0] * len(texts)
-                full = [i for i, t in enumerate(texts) if any(map(str.isalpha, t))]
-                if model and full:
-                    for i, name, score in zip(full, *model.predict([texts[i] for i in full])):
-                        names[i], scores[i] = name, score
-                yield pa.record_batch([part.column(0), part.column(2), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
+        tk.lean()
+        for part in (part for batch in batches for part in tk.parts(batch, 1, rows=256)):
+            texts = [t or "" for t in part.column(1).to_pylist()]
+            names, scores = ["und"] * len(texts), [0.0] * len(texts)
+            full = [i for i, t in enumerate(texts) if any(map(str.isalpha, t))]
+            if model and full:
+                for i, name, score in zip(full, *model.predict([texts[i] for i in full])):
+                    names[i], scores[i] = name, score
+            yield pa.record_batch([part.column(0), part.column(2), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 
     held = F.coalesce(remainder("doc_id") == 1, F.lit(False)).alias("held_out")
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), held).mapInArrow(predict, "doc_id long, held_out boolean, lang_pred string, score double")

@@ -96,6 +96,7 @@ def ngram_join(docs: DataFrame, size: int = 5, percent: int = 80, block_bytes: i
             yield pa.record_batch([pa.array(np.concatenate(out)), pa.array(np.concatenate(nodes))], schema=schema)
 
     def linked(table: pa.Table) -> pa.Table:
+        tk.lean()
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
         by_cluster: dict[int, list[tuple]] = {}
         for row in zip(table.column("cluster").to_pylist(), table.column("node").to_pylist(), table.column("n_shingles").to_pylist(), table.column("tokens").to_pylist(), table.column("piece").to_pylist(), table.column("copies").to_pylist()):

@@ -9,10 +9,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from . import crf
+from . import textkernel as tk
 from .language_id import remainder
+from .shared import without
 
 #: Labelled documents that the model is fitted on, about.
 SAMPLE = 3000
@@ -101,21 +102,21 @@ def score_quality(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Dat
     probability of label 1. predicted is 1 from 0.5 up. The model is fitted on the driver on a
     bounded sample (`training_sample`) and sent with the tasks.
 
-    Null and empty texts are one empty line and have a score, too. A null doc_id is neither held
-    out nor learned from. Repeated rows get the same score. A column of docs that is named like a
-    result is replaced.
+    Null and empty texts are one empty line and have a score, too. Texts of any length are scored
+    whole, about `textkernel.PART_BYTES` at a time. A null doc_id is neither held out nor learned
+    from. Repeated rows get the same score, and an empty table gives an empty one. A column of docs
+    that is named like a result, in whatever case, is replaced.
     """
     model = fit(*training_sample(docs, labels, most))
-    own = [c for c in docs.columns if c not in ("held_out", "score", "predicted")]
-    rows = docs.select(*own, F.coalesce(remainder("doc_id") == 1, F.lit(False)).alias("held_out"))
-    place = own.index("text")
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
-                s = model.scores(part.column(place).cast(pa.large_string()).fill_null(""))
-                yield pa.record_batch([*part.columns, pa.array(s, pa.float64()), pa.array((s >= 0.5).astype(np.int32))], names=[*part.schema.names, "score", "predicted"])
-
-    schema = T.StructType([*rows.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
-    return rows.mapInArrow(score, schema)
+    own = without(docs, "held_out", "score", "predicted")
+
+    def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        tk.lean()
+        for batch in texts:
+            whole = pa.record_batch([batch.cast(pa.large_string())], names=["text"])
+            yield pa.array(np.concatenate([np.zeros(0), *[model.scores(part.column(0).fill_null("")) for part in tk.parts(whole, 0)]]), pa.float64())
+
+    # only texts go to Python; not deterministic, so that a filter on the score doesn't have it made twice
+    scored = F.arrow_udf(score, "double").asNondeterministic()
+    rows = docs.select(*own, F.coalesce(remainder("doc_id") == 1, F.lit(False)).alias("held_out"), scored(F.col("text").cast("string")).alias("score"))
+    return rows.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

@@ -6,7 +6,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -19,8 +18,6 @@ from .textkernel import U
 SYMBOLS = "#*$%&|<>"
 #: Relative error of the quantile sketch.
 ACCURACY = 0.0025
-#: Bytes of text that are counted at once; a longer text is a part of its own.
-PART_BYTES = 1 << 21
 #: The ratios that are fenced above; word length is fenced below, too.
 MEASURES = ("symbols", "word_length", "dup_lines", "repeats")
 #: Shares at which a sketch is read to find out how far a measure spreads, nearest to the median first.
@@ -29,23 +26,14 @@ LADDER = (0.75, 0.9, 0.95, 0.99)
 FEATURES = "doc_id long, lang string, source string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long"
 
 
-def parts(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
-    """The rows of batch in order, in slices of about `most` bytes of a string column; texts stay whole."""
-    filled = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
-    at = 0
-    while at < batch.num_rows:
-        to = max(at + 1, int(np.searchsorted(filled, (filled[at - 1] if at else 0) + most, side="right")))
-        yield batch.slice(at, to - at)
-        at = to
-
-
 def features(docs: DataFrame) -> DataFrame:
-    """Counts of each whole text, about PART_BYTES at a time. A null text has no word and one empty line."""
+    """Counts of each whole text, about `textkernel.PART_BYTES` at a time. A null text has no word and one empty line."""
     symbol = np.zeros(256, dtype=bool)
     symbol[list(SYMBOLS.encode())] = True
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in parts(whole, 3, PART_BYTES)):
+        tk.lean()
+        for batch in (part for whole in batches for part in tk.parts(whole, 3)):
             text = batch.column(3)
             w = tk.words(text)
             _, offsets = tk.buffer(text)
@@ -140,7 +128,7 @@ def quality_rules(docs: DataFrame, min_words: int = 50, max_repeat_percent: int
 
     Fences are one row for each language and source, joined null-safe; null is a language and a
     source of its own. Null and empty texts fail the base rules. Texts of any length are counted
-    whole, one too long for PART_BYTES by itself. Repeated rows count as often as they occur; an
+    whole, one too long for a part by itself. Repeated rows count as often as they occur; an
     empty table gives an empty one; other columns, of whatever name, are ignored. Returns doc_id, the
     counts and the verdicts, then the ratios and fences they come from.
     """

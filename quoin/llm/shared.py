@@ -44,6 +44,18 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def without(docs: DataFrame, *names: str) -> list[str]:
+    """The columns of docs but for those named, in whatever case, as Spark does not tell cases apart."""
+    gone = {n.lower() for n in names}
+    return [c for c in docs.columns if c.lower() not in gone]
+
+
+def fresh(docs: DataFrame, *names: str) -> list[str]:
+    """A name like each of those given that no column of docs has, in whatever case."""
+    pad = "_" * (1 + max(map(len, docs.columns), default=0))
+    return [f"_{n}{pad}" for n in names]
+
+
 def digest(text: Column) -> Column:
     """16 bytes that name a text; null counts as the empty text."""
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))

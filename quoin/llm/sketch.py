@@ -50,6 +50,7 @@ def distinct_texts(docs: DataFrame, blocks: int) -> DataFrame:
     """
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tk.lean()
         seen: dict[bytes, int] = {}
         block = lambda k: int.from_bytes(k[:4], "big") * blocks >> 32
         schema = pa.schema([("block", pa.int32()), ("k", pa.binary()), ("n", pa.int32()), ("text", pa.string())])
@@ -76,6 +77,7 @@ def distinct_texts(docs: DataFrame, blocks: int) -> DataFrame:
 
 def unfold(table: pa.Table) -> tuple[list[bytes], np.ndarray, pa.Array]:
     """Distinct texts of a block: their keys, the copies of each, and the texts, in the order of the keys."""
+    tk.lean()
     keys, counts = table.column("k").to_pylist(), table.column("n").to_pylist()
     valid = table.column("text").is_valid().to_pylist()
     total: dict[bytes, int] = {}
@@ -130,6 +132,7 @@ def ask(block: int, hashes: np.ndarray, slices: int) -> list[tuple[int, int, int
 
 def merge(table: pa.Table) -> pa.Table:
     """Adds up the partial sketches of one slice; each block gets the totals of its own cells back."""
+    tk.lean()
     total = np.zeros(1 << SLICE_BITS, dtype=np.uint32)
     blocks, row, owner = table.column("block").to_pylist(), table.column("row")[0].as_py(), table.column("slice")[0].as_py()
     asked = []

@@ -8,15 +8,29 @@ polynomial over the mixed hashes of its words. Both are functions of the words a
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 U = np.uint64
 #: Bytes handled at once; longer buffers are cut at white space.
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
+#: Bytes of text that an operator takes from an Arrow batch at once; a longer text is a part of its own.
+PART_BYTES = 1 << 21
 
+
+def lean() -> None:
+    """Gives memory that was freed back to the system, so a worker doesn't keep through a stage what the one before held."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
+
+
+_LIBC = ctypes.CDLL(None)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -77,6 +91,16 @@ def buffer(column) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
+def parts(batch: pa.RecordBatch, column: int, most: int = PART_BYTES, rows: int = 1 << 62) -> Iterator[pa.RecordBatch]:
+    """The rows of batch in order, in slices of about `most` bytes of a string column and at most `rows` rows; texts stay whole."""
+    filled = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        to = min(at + rows, max(at + 1, int(np.searchsorted(filled, (filled[at - 1] if at else 0) + most, side="right"))))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def words(column, lower: bool = False, hashed: bool = True) -> Words:
     data, offsets = buffer(column)
     if lower:

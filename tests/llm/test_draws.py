@@ -12,5 +12,5 @@ MODEL = "piece_bpe_32k.model"
 def test_extreme_draws_lose_nothing(monkeypatch, draw):
     texts = ["there", "a bc", "x", "internationally known é▁", "qzxjv " * 5]
     monkeypatch.setattr(lattice, "_uniform", lambda keys, places: np.full(len(keys), draw))
-    ids, at = lattice.sample(texts, np.arange(len(texts), dtype=np.uint64), MODEL, 1.0)
-    assert lattice.decode(ids, at, MODEL, 1.0) == [t.encode() for t in texts]
+    ids, at = lattice.sample(texts, np.arange(len(texts), dtype=np.uint64), lattice.pieces(MODEL, 1.0))
+    assert lattice.decode(ids, at, lattice.pieces(MODEL, 1.0)) == [t.encode() for t in texts]

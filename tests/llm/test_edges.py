@@ -13,10 +13,11 @@ from quoin.llm.language_id import language_id
 from quoin.llm.line_dedup import line_dedup
 from quoin.llm.ngram_join import ngram_join
 from quoin.llm.quality_classifier import score_quality
-from quoin.llm.quality_rules import parts, quality_rules
+from quoin.llm.quality_rules import quality_rules
 from quoin.llm.sentencepiece_sampling import decode, encode
 from quoin.llm.source_mix import mix_sources
 from quoin.llm.substring_dedup import substring_dedup
+from quoin.llm.textkernel import parts
 from quoin.llm.token_count import token_counts
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")

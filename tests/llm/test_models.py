@@ -61,7 +61,7 @@ def test_segmentations_follow_the_lattice():
         if all(p in v.ids for p in parts):
             weight[tuple(v.ids[p] for p in parts)] = np.exp(-sum(np.log1p(1 + v.ranks[p]) for p in parts))
     total = sum(weight.values())
-    ids, at = lattice.sample([text] * 20000, np.arange(20000, dtype=np.uint64), MODEL, 1.0)
+    ids, at = lattice.sample([text] * 20000, np.arange(20000, dtype=np.uint64), lattice.pieces(MODEL, 1.0))
     seen = Counter(tuple(ids[a:b].tolist()) for a, b in zip(at[:-1], at[1:]))
     assert set(seen) <= set(weight)
     for k, w in weight.items():
