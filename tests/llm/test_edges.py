@@ -65,8 +65,8 @@ def test_substring_dedup(docs):
         assert sum(s.stop - s.start for s in r.spans) == r.n_removed
 
 
-@pytest.mark.parametrize("batches,fanout", [(1, 2), (3, 2)])
-def test_line_dedup(docs, batches, fanout):
+@pytest.mark.parametrize("batches,buckets", [(None, None), (1, 2), (3, 2), (7, 3)])
+def test_line_dedup(docs, batches, buckets):
     key = lambda x: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in x.strip("\t\n\x0b\x0c\r "))
     count = Counter(k for _, t, *_ in ROWS for k in {key(x) for x in (t or "").split("\n")})
     want = []
@@ -74,7 +74,7 @@ def test_line_dedup(docs, batches, fanout):
         lines = (t or "").split("\n")
         kept = [x for x in lines if not (key(x) and count[key(x)] >= 3)]
         want.append((d, "\n".join(kept), len(lines), len(lines) - len(kept)))
-    got = [(r.doc_id, r.kept_text, r.n_lines, r.n_dropped) for r in line_dedup(docs, 3, 1, batches, fanout).collect()]
+    got = [(r.doc_id, r.kept_text, r.n_lines, r.n_dropped) for r in line_dedup(docs, 3, 1, batches, buckets).collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
