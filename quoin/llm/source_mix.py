@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .shared import BLANKS
+from .shared import BLANKS, fresh, without
 
 #: Rows of one prefix-sum bucket, about.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 4_000
+RESULTS = ("size", "source_size", "target", "taken")
 
 
 def word_count(text: Column) -> Column:
@@ -52,34 +53,38 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share:
     stays within the rest; the document on the cut is taken in part. So a source's words come
     to floor(target), and none exceeds `epochs` times its size.
 
-    Rows with null or empty text have size 0 and are not taken. Null sources are one source, the
-    last. Rows equal in id, text and source are equal in order too; which copy lies on the cut doesn't change the result as a set of
-    rows. All columns of docs are kept; a column of docs that is named like a result is replaced.
+    Rows with null or empty text have size 0 and are not taken; a text of any length is counted
+    whole. Null sources are one source, the last. Rows equal in id, text and source are equal in
+    order too; which copy lies on the cut doesn't change the result as a set of rows. An empty table
+    gives an empty one. All columns of docs are kept; a column that is named like a result, in
+    whatever case, is replaced.
     """
-    made = ("size", "source_size", "target", "taken")
-    own = [c for c in docs.columns if c not in made]
-    pad = "_" * max(map(len, docs.columns))
-    key, bucket, before, sum_before = (f"_{x}{pad}" for x in ("key", "bucket", "before", "sum_before"))
-    sized = docs.select(*own, word_count(F.col("text")).alias("size"), F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit(""))).cast("binary")).alias(key))
-    rows = docs.select("source").groupBy("source").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 1
+    own = without(docs, *RESULTS)
+    key, bucket, before, sum_before, of_source, of_bucket = fresh(docs, "key", "bucket", "before", "sum_before", "source", "of_bucket")
+    size, source_size, target, source = fresh(docs, "size", "source_size", "target", "of")  # no column of docs is named so
+    sized = docs.select(*own, F.col("source").alias(source), word_count(F.col("text")).alias(size), F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit(""))).cast("binary")).alias(key))
+    rows = docs.groupBy("source").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 1
     buckets = max(1, -(-int(rows) // bucket_rows))
     sized = sized.withColumn(bucket, F.shiftright(F.conv(F.substring(key, 1, 8), 16, 10).cast("long") * F.lit(buckets), 32))
-    sums = sized.groupBy("source", bucket).agg(F.sum("size").alias("size"))
+    sums = sized.groupBy(F.col(source).alias("source"), F.col(bucket).alias("bucket")).agg(F.sum(size).alias("size"))
     goal = targets(sums.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, epochs)
-    offsets = sums.select(F.col("source").alias("_s"), F.col(bucket).alias("_b"), F.coalesce(F.sum("size").over(W.partitionBy("source").orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias(before))
-    side = offsets.join(goal, F.col("_s").eqNullSafe(F.col("source"))).drop("source")
-    inner = W.partitionBy("source", bucket).orderBy(key, "size").rowsBetween(W.unboundedPreceding, -1)
-    placed = sized.withColumn(sum_before, F.coalesce(F.sum("size").over(inner), F.lit(0)))
-    placed = placed.join(side, F.col("source").eqNullSafe(F.col("_s")) & (F.col(bucket) == F.col("_b")))
-    whole = F.when(F.col("source_size") > 0, F.floor(F.floor("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
-    rest = F.floor("target").cast("long") - whole * F.col("source_size")
-    part = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col(before) - F.col(sum_before)))
-    return placed.select(*own, "size", "source_size", "target", (whole * F.col("size") + part).cast("long").alias("taken"))
+    goal = goal.select(F.col("source").alias(of_source), F.col("source_size").alias(source_size), F.col("target").alias(target))
+    earlier = W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sums.select("source", F.col("bucket").alias(of_bucket), F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias(before))
+    side = offsets.join(goal, F.col("source").eqNullSafe(F.col(of_source))).drop("source")
+    inner = W.partitionBy(source, bucket).orderBy(key, size).rowsBetween(W.unboundedPreceding, -1)
+    placed = sized.withColumn(sum_before, F.coalesce(F.sum(size).over(inner), F.lit(0)))
+    placed = placed.join(side, F.col(source).eqNullSafe(F.col(of_source)) & (F.col(bucket) == F.col(of_bucket)))
+    whole = F.when(F.col(source_size) > 0, F.floor(F.floor(target) / F.col(source_size))).otherwise(F.lit(0)).cast("long")
+    rest = F.floor(target).cast("long") - whole * F.col(source_size)
+    part = F.greatest(F.lit(0), F.least(F.col(size), rest - F.col(before) - F.col(sum_before)))
+    taken = (whole * F.col(size) + part).cast("long")
+    return placed.select(*own, F.col(size).alias("size"), F.col(source_size).alias("source_size"), F.col(target).alias("target"), taken.alias("taken"))
 
 
 def materialise(mixed: DataFrame, epochs: int = 2) -> DataFrame:
     """The rows of a mix, each as often as it is taken: taken / size, half up, so whole texts only."""
-    copies = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + F.lit(0.5e0))).otherwise(F.lit(0)).cast("int")
-    drop = ("size", "source_size", "target", "taken")
-    twice = mixed.where(copies > 0).withColumn("_copies", copies)
-    return twice.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_copy", "_copies", *drop)
+    copies, copy = fresh(mixed, "copies", "copy")
+    n = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + F.lit(0.5e0))).otherwise(F.lit(0)).cast("int")
+    twice = mixed.where(n > 0).withColumn(copies, n)
+    return twice.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*without(mixed, *RESULTS))
