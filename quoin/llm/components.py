@@ -11,7 +11,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates the two star operations of the map-reduce algorithm: a node's larger neighbours are
     hung on the least node near it, then its smaller ones. Minima are taken with map-side
-    aggregation and joined back, so a hub is never gathered in one task. Each round is cut with
+    aggregation and joined back; no neighbours are gathered in memory, but a hub's edges meet in one
+    partition of that join unless Spark splits it. Each round is cut with
     checkpoint(); the rounds grow with the logarithm of the nodes. Loops, repeated edges and
     edges with a null end are harmless; an empty table gives an empty one.
     """

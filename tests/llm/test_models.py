@@ -79,7 +79,7 @@ def test_prefix_tree_finds_every_link():
                 s.discard(int(r.choice(base)))
                 s.add(int(r.integers(400, 2000)))
             sets.append(sorted(s))
-    entries = [trie.Entry(i, len(s), s) for i, s in enumerate(sets)]
+    entries = trie.ranked([np.array(s) for s in sets], [len(s) for s in sets])
     union = trie.Union(len(sets))
     for a, b in itertools.combinations(range(len(sets)), 2):
         x, y = set(sets[a]), set(sets[b])
