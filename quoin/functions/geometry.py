@@ -152,7 +152,8 @@ def in_image(p: Column, w: Column, h: Column) -> Column:
 
 def next_power_of_two(n: Column) -> Column:
     """The least power of two that is not below n; 1 below 1."""
-    return F.aggregate(F.sequence(F.lit(0), F.lit(30)), F.lit(1).cast("long"), lambda acc, _: F.when(acc < n, acc * 2).otherwise(acc))
+    below = F.greatest(F.ceil(n).cast("long") - 1, F.lit(0).cast("long"))  # as many binary digits as the power has zeros
+    return F.when(below > 0, F.call_function("shiftleft", F.lit(1).cast("long"), F.length(F.bin(below)))).otherwise(F.lit(1).cast("long"))
 
 
 def acos_clipped(x: Column) -> Column:

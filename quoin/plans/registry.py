@@ -481,13 +481,13 @@ def atlas_uv(spark, sf_dir):
 # --- text ---
 
 
-def _obj_texts(spark, sf_dir) -> DataFrame:
+def _obj_texts(spark, sf_dir, **how) -> DataFrame:
     """OBJ text of every building, made from its faces (K1, K2)."""
     c = faces.dedup_vertices(fixtures.table(spark, sf_dir, "corner"))
     v = c.select("bldg_id", F.col("v_idx").alias("idx"), "x", "y", "z").distinct()
     f = c.groupBy(*FACE).agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", "v_idx"))), lambda p: F.struct(p["v_idx"].alias("pos"), F.lit(None).cast("int").alias("tex"), F.lit(None).cast("int").alias("norm"))).alias("corners"))
     f = f.withColumn("element", F.when(F.col("face_no") == 0, "Roof").when(F.col("face_no") == 5, "Ground").otherwise("Wall"))
-    return sinks.obj_text(v, f)
+    return sinks.obj_text(v, f, **how)
 
 
 _IDX = "ix as (select c.bldg_id, c.face_no, c.seq, k.v_idx, c.x, c.y, c.z from corner c join (select *, row_number() over (partition by bldg_id order by o) v_idx from (select bldg_id, x, y, z, min(face_no * 100 + seq) o from corner group by all)) k using (bldg_id, x, y, z))"

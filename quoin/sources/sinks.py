@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import os
 import struct
+import zipfile
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .meshes import index_text
+from .meshes import index_text, suffix
 
 
 def vertex_line(x: Column, y: Column, z: Column, swap: bool = False) -> Column:
@@ -52,6 +55,58 @@ def replace_block(lines: DataFrame, fresh: DataFrame, key: str, what: str = "vt"
     return kept.unionByName(fresh.join(at, key).select(key, "line_no", "sub_no", "line"))
 
 
+def rectified_obj(lines: DataFrame, vt: DataFrame, faces: DataFrame, key: str) -> DataFrame:
+    """K3: (key, line_no, line): lines with the vt block replaced at its first line and textured `f` lines written anew.
+
+    vt (key, idx, u, v); faces (key, line_no, corners) with pos and tex. Each building's own material
+    comes first; other `mtllib ` and `usemtl ` lines go.
+    """
+    fresh = vt.select(key, F.col("idx").alias("sub_no"), F.concat_ws(" ", F.lit("vt"), F.col("u").cast("string"), F.col("v").cast("string")).alias("line"))
+    kept = replace_block(lines, fresh, key)
+    made = faces.select(key, "line_no", F.concat(F.lit("f "), F.array_join(F.transform("corners", lambda c: F.concat_ws("/", c["pos"].cast("string"), c["tex"].cast("string"))), " ")).alias("_made"))
+    kept = kept.join(made, [key, "line_no"], "left").select(key, "line_no", "sub_no", F.coalesce("_made", "line").alias("line"))
+    kept = kept.where(~F.startswith("line", F.lit("mtllib ")) & ~F.startswith("line", F.lit("usemtl ")) & (F.col("line") != ""))
+    name = F.col(key).cast("string")
+    head = lines.select(key).distinct().select(key, F.explode(F.array(F.struct(F.lit(-2).alias("line_no"), F.lit(0).alias("sub_no"), F.concat(F.lit("mtllib "), name, F.lit(".mtl")).alias("line")), F.struct(F.lit(-1).alias("line_no"), F.lit(0).alias("sub_no"), F.concat(F.lit("usemtl "), name).alias("line")))).alias("h")).select(key, "h.*")
+    every = head.unionByName(kept)
+    return every.select(key, F.row_number().over(W.partitionBy(key).orderBy("line_no", "sub_no")).alias("line_no"), "line")
+
+
+def short_mtl(name: Column, map_kd: Column) -> Column:
+    """K4: a material file of one texture."""
+    return F.concat(F.lit("newmtl "), name, F.lit("\nmap_Kd "), map_kd, F.lit("\n"))
+
+
+def obj_copies(lines: DataFrame, texture: DataFrame, key: str, new_suffix: str | None = None) -> DataFrame:
+    """K6: (key, text, mtl): an OBJ whose mtllib lines lead to {key}.mtl, and that file's text if the OBJ has a texture (key, map_kd)."""
+    name = F.col(key).cast("string")
+    line = F.when(F.lower(F.trim("line")).startswith("mtllib "), F.concat(F.lit("mtllib "), name, F.lit(".mtl"))).otherwise(F.col("line"))
+    text = lines.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", line.alias("line")))), lambda x: x["line"]), "\n").alias("text"))
+    end = F.lit(f".{new_suffix.lstrip('.')}") if new_suffix else suffix(F.col("map_kd"))
+    return text.join(texture, key, "left").select(key, "text", F.when(F.col("map_kd").isNotNull(), short_mtl(name, F.concat(F.lit("../appearance/"), name, end))).alias("mtl"))
+
+
+def ordered(files: DataFrame, key: str = "bldg_id") -> DataFrame:
+    """O1: files in the order of their ids as text, as a listing gives them."""
+    return files.orderBy(F.col(key).cast("string"))
+
+
+def run_status(results: DataFrame) -> DataFrame:
+    """(n_processed, n_assigned, status) of with_fallback's rows; status 1 if any building kept its original."""
+    return results.agg(F.count("*").alias("n_processed"), F.count(F.when(F.col("status") == 0, 1)).alias("n_assigned"), F.max("status").alias("status"))
+
+
+def result_zip(folder: str, out: str, marker: str = "completed") -> list[str]:
+    """K9: the files of obj/ and appearance/ in one archive on the driver, then the marker file beside it."""
+    names = sorted(os.path.relpath(os.path.join(at, f), folder) for part in ("obj", "appearance") for at, _, files in os.walk(os.path.join(folder, part)) for f in files)
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for n in names:
+            z.write(os.path.join(folder, n), n)
+    with open(os.path.join(os.path.dirname(out), marker), "w"):
+        pass
+    return names
+
+
 def with_fallback(original: DataFrame, made: DataFrame, key: str = "bldg_id") -> DataFrame:
     """K8, Q22, Q23: each building's new text, or its original where there is none; status 1 marks the latter."""
     both = original.withColumnRenamed("text", "_old").join(made, key, "left")
