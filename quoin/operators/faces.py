@@ -70,6 +70,11 @@ def clean_rings(faces: DataFrame) -> DataFrame:
     return f.withColumn("ring", F.when(closed, F.slice("_kept", 1, n - 1)).otherwise(F.col("_kept"))).drop("_kept").where(F.size("ring") >= 3)
 
 
+def zip_lists(df: DataFrame, key: str, *columns: str) -> DataFrame:
+    """One row for each place of a row's lists, which stand for each other by their place; a shorter list is null there."""
+    return df.select(key, F.posexplode(F.arrays_zip(*columns)).alias("place", "z")).select(key, "place", "z.*")
+
+
 def dedup_vertices(corner: DataFrame, precision: int | None = None) -> DataFrame:
     """Corners with v_idx, the building's number (from 1) of their exact point by first appearance."""
     c = corner if precision is None else corner.withColumns({a: F.bround(a, precision) for a in "xyz"})

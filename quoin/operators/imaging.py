@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as g
 from ..functions.geometry import lit
+from . import faces as _faces
+from . import tiles
 from .scale import broadcast_checked
 
 FACE = ["bldg_id", "face_no"]
@@ -17,6 +19,8 @@ _PHOTO = ["cx", "cy", "cz", "w", "h", "sensor_w", "sensor_h", "f", "ppx", "ppy"]
 ORTHO_WEIGHT = 2.0
 #: A footprint of this many units or more counts as one without bounds.
 _WIDEST = 1e12
+#: Most images of a mosaic whose boxes are looked up in one row.
+MOST_MEMBERS = 2_000
 
 
 def oriented(photo: DataFrame, mode: str = "xyz") -> DataFrame:
@@ -105,12 +109,21 @@ def mosaic(ortho: DataFrame) -> DataFrame:
 def in_mosaic(faces: DataFrame, ortho: DataFrame) -> DataFrame:
     """Every ring in the mosaic, with n_in, the corners inside it and inside some member.
 
-    The member test looks up the members' boxes in one row; a mosaic is a few hundred images.
+    The member test looks up the members' boxes in one row, if they are no more than MOST_MEMBERS;
+    those of a larger mosaic are joined on a grid.
     """
-    boxes = ortho.agg(F.collect_list(F.struct("l", "b", "r", "t")).alias("boxes"))
-    m = broadcast_checked(mosaic(ortho).crossJoin(boxes))
-    seen = faces.crossJoin(m).withColumn("image", F.transform("ring", lambda q: F.struct(((q["x"] - F.col("l")) / F.col("px_x")).alias("u"), ((F.col("t") - q["y"]) / F.col("px_y")).alias("v"))))
-    member = F.transform("ring", lambda q: F.exists("boxes", lambda o: q["x"].between(o["l"], o["r"]) & q["y"].between(o["b"], o["t"])))
+    few = len(ortho.select(F.lit(1)).head(MOST_MEMBERS + 1)) <= MOST_MEMBERS
+    if few:
+        member = F.transform("ring", lambda q: F.exists("boxes", lambda o: q["x"].between(o["l"], o["r"]) & q["y"].between(o["b"], o["t"])))
+        m = F.broadcast(mosaic(ortho).crossJoin(ortho.agg(F.collect_list(F.struct("l", "b", "r", "t")).alias("boxes"))))
+        rings = faces
+    else:
+        boxes = ortho.select(F.col("l").alias("x1"), F.col("b").alias("y1"), F.col("r").alias("x2"), F.col("t").alias("y2"))
+        side = ortho.agg(F.percentile_approx(F.greatest(F.col("r") - F.col("l"), F.col("t") - F.col("b")), 0.5)).first()[0]
+        points = faces.select(*FACE, F.posexplode("ring").alias("seq", "p")).select(*FACE, "seq", "p.x", "p.y")
+        found = tiles.covered(points, [*FACE, "seq"], boxes, max(float(side), 1e-3)).groupBy(*FACE).agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", "covered"))), lambda s: s["covered"]).alias("_members"))
+        member, m, rings = F.col("_members"), F.broadcast(mosaic(ortho)), faces.join(found, FACE)
+    seen = rings.crossJoin(m).withColumn("image", F.transform("ring", lambda q: F.struct(((q["x"] - F.col("l")) / F.col("px_x")).alias("u"), ((F.col("t") - q["y"]) / F.col("px_y")).alias("v"))))
     inside = F.size(F.filter("image", lambda q, i: g.in_image(q, F.col("mw"), F.col("mh")) & F.get(member, i)))
     return seen.select(*faces.columns, "image", inside.alias("n_in"), F.col("mw").alias("img_w"), F.col("mh").alias("img_h"))
 
@@ -138,6 +151,19 @@ def best(found: DataFrame) -> DataFrame:
     return found.groupBy(*FACE).agg(F.max(rank).alias("b")).select(*FACE, "b.photo_id", "b.is_ortho", "b.area", "b.image", "b.img_w", "b.img_h")
 
 
+def wall_images(classed: DataFrame, adjacent: DataFrame, photo: DataFrame, ortho: DataFrame) -> DataFrame:
+    """The image of each wall: of the photos that show it unhidden and, for walls that are nearly level, the mosaic.
+
+    The mosaic is looked at first, so a photo of the same weighted area takes its place; a mosaic
+    that shows no area at all does not count.
+    """
+    photos = wall_candidates(classed, adjacent, photo).where(~F.col("hidden"))
+    level = _faces.level_faces(classed.where("element = 'Wall'")).where("is_level")
+    mosaics = visible(in_mosaic(level, ortho)).where("area > 0")
+    columns = [*FACE, "photo_id", "area", "image", "img_w", "img_h"]
+    return best(candidates(photos.select(columns), mosaics.withColumn("photo_id", F.lit(None).cast("long")).select(columns)))
+
+
 def boxes(chosen: DataFrame, margin: int = 2) -> DataFrame:
     """The pixel box of each image ring, with a margin where the box then stays inside the image."""
     low = lambda c: F.floor(F.array_min(g.field("image", c))).cast("int")

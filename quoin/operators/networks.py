@@ -64,7 +64,8 @@ def unet_generator(x: np.ndarray, weights: dict[str, np.ndarray], downs: int = 8
     g = lambda n: (weights[f"{n}.w"], weights.get(f"{n}.b"))
 
     def level(x: np.ndarray, i: int) -> np.ndarray:
-        y = conv(x if i == 0 else relu(x, 0.2), *g(f"down{i}"), stride=2, pad=1)
+        x = x if i == 0 else relu(x, 0.2)  # the skip carries what the way down is given
+        y = conv(x, *g(f"down{i}"), stride=2, pad=1)
         if i < downs - 1:
             y = level(instance_norm(y) if i else y, i + 1)
         z = conv_transposed(relu(y), *g(f"up{i}"), out_pad=0)

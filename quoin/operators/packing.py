@@ -65,3 +65,8 @@ def row_pack(rect: DataFrame, order: str = "face_no", w: str = "rw", h: str = "r
 def atlas_uv(placed: DataFrame) -> DataFrame:
     """Texture coordinates of ring corners placed in an atlas, origin at the lower left; zero areas take room but get none."""
     return placed.where("area <> 0").select("*", F.transform("image", lambda p: F.struct(((p["u"] - F.col("min_x") + F.col("off_x")) / F.col("atlas_w")).alias("u"), F.abs((p["v"] - F.col("min_y") + F.col("off_y")) / F.col("atlas_h") - F.lit(1e0)).alias("v"))).alias("uv"))
+
+
+def rectified_uv(x, y, w, h) -> tuple:
+    """Texture coordinates of a pixel of a frontal view's atlas of w x h, rows counted from the top."""
+    return x / w, (h - y) / h

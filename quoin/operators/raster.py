@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 IMAGE = "height int, width int, channels int, data binary"
 
@@ -45,7 +46,8 @@ def assemble(parts: list[tuple[int, int, np.ndarray]], w: int, h: int) -> np.nda
 
 
 def polygon_mask(ring: np.ndarray, w: int, h: int, outline: int = 0) -> np.ndarray:
-    """Pixels whose centre lies in the ring, or within outline / 2 of its edges."""
+    """Pixels whose centre lies in the ring, its corners cut to whole pixels, or within outline / 2 of its edges."""
+    ring = np.trunc(np.asarray(ring, dtype=float))
     gx, gy = np.meshgrid(np.arange(w, dtype=float), np.arange(h, dtype=float))
     inside = np.zeros((h, w), dtype=bool)
     near = np.full((h, w), np.inf)
@@ -178,7 +180,7 @@ def paste(atlas: np.ndarray, part: np.ndarray, x: int, y: int) -> np.ndarray:
 def limit_height(atlas: np.ndarray, most: int = 4096) -> np.ndarray:
     """An atlas that is too high, scaled to the limit in both directions; texture coordinates stay."""
     h, w = atlas.shape[:2]
-    return atlas if h <= most else resize(atlas, max(1, int(w * most / h)), most)
+    return atlas if h <= most else resize(atlas, max(1, round(w * (most / h))), most)
 
 
 def back_to_atlas(wall: np.ndarray, src: np.ndarray, dst: np.ndarray, w: int, h: int) -> tuple[int, int, np.ndarray]:
@@ -243,13 +245,45 @@ def summary(x: np.ndarray) -> dict[str, float]:
     return {"mean": float(x.mean()), "min": float(x.min()), "max": float(x.max()), "median": float(np.median(x)), "std": float(x.std())}
 
 
-def map_images(images: DataFrame, f: Callable[[np.ndarray], np.ndarray], key: str = "key string") -> DataFrame:
-    """f on every image (key, height, width, channels, data), an Arrow batch at a time."""
+def blank(h: int = 1, w: int = 1) -> np.ndarray:
+    """a white image; of one pixel it stands for a face without a normal."""
+    return np.full((h, w, 3), 255, dtype=np.uint8)
+
+
+def cut_out(image: np.ndarray, ring: np.ndarray, x: int, y: int, w: int, h: int, margin: int = 0) -> np.ndarray:
+    """The patch of an image around a ring of image positions, white outside the ring and its margin."""
+    return compose(window(image, x, y, w, h), polygon_mask(np.asarray(ring, float) - [x, y], w, h, 2 * margin))
+
+
+def atlas(parts: list[tuple[int, int, np.ndarray]], w: int, h: int, most: int = 4096) -> np.ndarray:
+    """Parts on a white canvas, scaled down if it is too high."""
+    out = blank(h, w)
+    for x, y, p in parts:
+        out = paste(out, p, x, y)
+    return limit_height(out, most)
+
+
+def copy_box(atlas_: np.ndarray, source: np.ndarray, x: int, y: int, w: int, h: int) -> np.ndarray:
+    """The atlas with a box of the source in its place."""
+    out = atlas_.copy()
+    out[y : y + h, x : x + w] = source[y : y + h, x : x + w]
+    return out
+
+
+def pixels(images: DataFrame, key: str) -> DataFrame:
+    """(key, y, x, c, v): every byte of the images (key, height, width, channels, data)."""
+    return images.select(key, "width", "channels", F.posexplode(F.transform(F.sequence(F.lit(1), F.octet_length("data")), lambda i: F.conv(F.hex(F.substr("data", i, F.lit(1))), 16, 10).cast("int"))).alias("i", "v")).select(
+        key, F.floor(F.col("i") / (F.col("width") * F.col("channels"))).cast("int").alias("y"), (F.floor(F.col("i") / F.col("channels")) % F.col("width")).cast("int").alias("x"), (F.col("i") % F.col("channels")).alias("c"), "v")
+
+
+def map_images(images: DataFrame, f: Callable[..., np.ndarray], key: str = "key string", rows: bool = False) -> DataFrame:
+    """f on every image (key, height, width, channels, data), an Arrow batch at a time; with `rows`, f is given the key, too."""
     name = key.split()[0]
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            made = [np.ascontiguousarray(f(to_array(r.height, r.width, r.channels, r.data))) for r in pdf.itertuples()]
+            given = ((to_array(r.height, r.width, r.channels, r.data), getattr(r, name)) for r in pdf.itertuples())
+            made = [np.ascontiguousarray(f(image, k) if rows else f(image)) for image, k in given]
             yield pd.DataFrame({name: pdf[name], "height": [m.shape[0] for m in made], "width": [m.shape[1] for m in made], "channels": [m.shape[2] for m in made], "data": [m.tobytes() for m in made]})
 
     return images.select(name, "height", "width", "channels", "data").mapInPandas(work, f"{key}, {IMAGE}")

@@ -41,6 +41,17 @@ def overlaps(left: DataFrame, right: DataFrame, left_id: str, right_id: str, cel
     return both.where((F.col("ix1") < F.col("ix2")) & (F.col("iy1") < F.col("iy2")) & here).drop("gx", "gy")
 
 
+def covered(points: DataFrame, keys: list[str], boxes: DataFrame, cell: float) -> DataFrame:
+    """Points (keys, x, y) with `covered`, whether they lie in some box (x1, y1, x2, y2), edges included.
+
+    Boxes are put on a grid of `cell`, each point in one cell, and they meet by an equi-join.
+    """
+    b = boxes.select("x1", "y1", "x2", "y2").withColumn("gx", F.explode(_cells("x1", "x2", cell))).withColumn("gy", F.explode(_cells("y1", "y2", cell)))
+    put = points.withColumns({"gx": F.floor(F.col("x") / lit(cell)), "gy": F.floor(F.col("y") / lit(cell))})
+    hit = put.join(b, ["gx", "gy"]).where(F.col("x").between(F.col("x1"), F.col("x2")) & F.col("y").between(F.col("y1"), F.col("y2"))).select(keys).distinct()
+    return points.join(hit.withColumn("covered", F.lit(True)), keys, "left").fillna(False, ["covered"])
+
+
 def tile_name(path: str = "path") -> F.Column:
     """(base, col, row_no) of a tile's file name base_col_row.ext; null for other names."""
     p = F.regexp_extract(F.col(path), r"([^/]+)$", 1)

@@ -1,3 +1,3 @@
 """Importing the package registers all queries."""
 
-from . import files, registry  # noqa: F401
+from . import files, registry, views  # noqa: F401

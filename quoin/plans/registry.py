@@ -337,10 +337,10 @@ def ortho_patch_overlap(spark, sf_dir):
 
 @query("select bldg_id, face_no, seq, exists (select 1 from ortho where x between l and r and y between b and t) covered from corner", "corner", "ortho")
 def ortho_point_exists(spark, sf_dir):
-    """Closed bounds."""
-    boxes = fixtures.table(spark, sf_dir, "ortho").agg(F.collect_list(F.struct("l", "b", "r", "t")).alias("boxes"))
-    c = fixtures.table(spark, sf_dir, "corner").crossJoin(F.broadcast(boxes))
-    return c.select(*FACE, "seq", F.exists("boxes", lambda o: F.col("x").between(o["l"], o["r"]) & F.col("y").between(o["b"], o["t"])).alias("covered"))
+    """Closed bounds."""
+    boxes = fixtures.table(spark, sf_dir, "ortho").selectExpr("l x1", "b y1", "r x2", "t y2")
+    points = fixtures.table(spark, sf_dir, "corner").select(*FACE, "seq", "x", "y")
+    return tiles.covered(points, [*FACE, "seq"], boxes, 160.0).select(*FACE, "seq", "covered")
 
 
 @query("""with i as (select s_suppkey id, 's_' || s_suppkey as name, 900 + cast(s_suppkey % 23 as int) * 211 w, 700 + cast(s_suppkey % 17 as int) * 307 h from supplier)
@@ -471,13 +471,6 @@ def atlas_order(spark, sf_dir):
     return _placed(spark, sf_dir).select(*FACE, "photo_id", "order_no")
 
 
-@query()
-def atlas_uv(spark, sf_dir):
-    """The whole mapping stage, from corners to texture coordinates; its rows have no independent test."""
-    p = _placed(spark, sf_dir)
-    return p.select(*FACE, "photo_id", "off_x", "off_y", "atlas_w", "atlas_h", F.posexplode("uv").alias("seq", "t")).select(*FACE, "photo_id", "seq", "off_x", "off_y", "atlas_w", "atlas_h", _r("t.u").alias("u"), _r("t.v").alias("v"))
-
-
 # --- text ---
 
 
@@ -634,24 +627,6 @@ def patch_paste(spark, sf_dir):
     return p.groupBy("canvas", "y", "x").agg(F.max(F.struct("vec_id", "v"))["v"].alias("v"), F.count("*").alias("n"), _r(F.avg("v")).alias("mean"))
 
 
-@query()
-def homography(spark, sf_dir):
-    """The largest error of the fitted map over each face's corners; small by construction of the rings."""
-    import numpy as np
-
-    def fit(batches):
-        for pdf in batches:
-            error = []
-            for r in pdf["r"]:
-                src, dst = np.array([[p["su"], p["sv"]] for p in r]), np.array([[p["x"], p["y"]] for p in r])
-                q = np.hstack([src, np.ones((len(src), 1))]) @ raster.homography(src, dst).T
-                error.append(float(np.abs(q[:, :2] / q[:, 2:] - dst).max()))
-            yield pdf[["bldg_id", "face_no"]].assign(error=error)
-
-    t = fixtures.table(spark, sf_dir, "tex_corner").where("face_no in (0, 5)").groupBy(*FACE).agg(g.pack("seq", "x", "y", "su", "sv").alias("r"))
-    return t.mapInPandas(fit, "bldg_id long, face_no int, error double")
-
-
 @query()
 def warp_patch(spark, sf_dir):
     """Every 8 x 8 patch as an image, letterboxed to 32 and taken back."""
