@@ -95,11 +95,12 @@ def families(centres: np.ndarray, names: list[str], n: int) -> list[list[str]]:
     return [sorted(names[i] for i in g) for g in groups]
 
 
-def fit(texts: list[str], langs: list[str]) -> Model | None:
+def fit(x: np.ndarray, langs: list[str]) -> Model | None:
+    """The model of rows of trigrams and their languages; None without any."""
     names = sorted(set(langs))
     if not names:
         return None
-    x, y = trigrams(texts), np.array(langs)
+    y = np.array(langs)
     centres = np.array([x[y == n].mean(axis=0) for n in names])
     centres /= np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-9)
     groups = families(centres, names, max(1, math.isqrt(len(names))))
@@ -118,21 +119,33 @@ def remainder(doc_id):
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3))
 
 
-def training_sample(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, most: int = SAMPLE) -> tuple[list[str], list[str]]:
-    """Texts and languages to learn from: about per_language for each language, `most` in all, chosen by a hash of the row.
+def training_sample(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, most: int = SAMPLE) -> tuple[np.ndarray, list[str]]:
+    """Trigrams and languages to learn from: about per_language for each language, `most` in all, chosen by a hash of the row.
 
-    Only documents that are not held out, with a text that has a letter and a language.
+    Only documents that are not held out, with a text that has a letter and a language. The driver
+    holds a count for each language, as the model has weights for each, and the sample's trigrams,
+    6 bytes for each that occurs, whatever the lengths of its texts.
     """
     known = docs.select("doc_id", F.col("text").cast("string"), "lang").where(F.col("lang").isNotNull() & (remainder("doc_id") != 1))
     counts = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
-        return [], []
+        return np.zeros((0, 1 << BITS), dtype=np.float32), []
     each = max(2, min(per_language, most // len(counts)))
     share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, each / n))])
     draw = F.pmod(F.xxhash64(F.lit(17), "doc_id", "text"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    rows = known.where(F.col("text").rlike(r"\p{L}") & (draw < F.element_at(share, F.col("lang")))).select("text", "lang").collect()
-    rows.sort(key=lambda r: (r.lang, r.text))
-    return [r.text for r in rows], [r.lang for r in rows]
+
+    def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (part for batch in batches for part in tk.parts(batch, 0, rows=256)):
+            x = trigrams(part.column(0).to_pylist())
+            held = [np.flatnonzero(row) for row in x]
+            yield pa.record_batch([part.column(1), pa.array([h.astype("<u2").tobytes() for h in held], pa.binary()), pa.array([row[h].astype("<f4").tobytes() for row, h in zip(x, held)], pa.binary())], names=["lang", "at", "x"])
+
+    chosen = known.where(F.col("text").rlike(r"\p{L}") & (draw < F.element_at(share, F.col("lang")))).select("text", F.col("lang").cast("string"))
+    rows = sorted(chosen.mapInArrow(sparse, "lang string, at binary, x binary").collect(), key=lambda r: (r["lang"], bytes(r["at"]), bytes(r["x"])))
+    x = np.zeros((len(rows), 1 << BITS), dtype=np.float32)
+    for row, r in zip(x, rows):
+        row[np.frombuffer(r["at"], "<u2")] = np.frombuffer(r["x"], "<f4")
+    return x, [r["lang"] for r in rows]
 
 
 def language_id(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, most: int = SAMPLE) -> DataFrame:
@@ -145,7 +158,9 @@ def language_id(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, most:
 
     Texts that are null, empty or without a letter are `und` with score 0, as is every text where
     no language could be learned. A null doc_id is neither held out nor learned from; a null lang
-    is not learned from. Repeated rows get the same prediction. Other columns are ignored.
+    is not learned from. Texts of any length are read whole. Equal votes go to the larger sum of
+    margins, then to the language that is first by name. Repeated rows get the same prediction, and an
+    empty table gives an empty one. Other columns, of whatever name, are ignored.
     """
     model = fit(*training_sample(docs, per_language, most))
 

@@ -33,9 +33,12 @@ def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
     return out
 
 
-def ngram_join(docs: DataFrame, size: int = 5, percent: int = 80, block_bytes: int = BLOCK_BYTES, piece_tokens: int = PIECE_TOKENS, with_links: bool = False) -> DataFrame:
+def ngram_join(docs: DataFrame, size: int = 5, percent: int = 80, block_bytes: int = BLOCK_BYTES, piece_tokens: int = PIECE_TOKENS, with_links: bool = False, with_keys: bool = False) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of docs, and n_links, its linked other rows, if with_links.
 
+    with_keys adds text_md5, which names the row's text, and component, a number for each component
+    that is never null, also where all its ids are.
+
     Two documents link when 100 * shared shingles >= percent * all their shingles; component_id is
     the least doc_id reachable by links. No component loses a link that it needs, and n_links counts every link:
 
@@ -118,6 +121,8 @@ def ngram_join(docs: DataFrame, size: int = 5, percent: int = 80, block_bytes: i
         sums = links.where("n > 0").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
         result = result.join(sums, "node", "left").withColumn("n_links", F.when(F.col("n_shingles") == 0, 0).otherwise(F.col("copies") - 1 + F.coalesce("n", F.lit(0))).cast("long"))
         more = ["n_links"]
+    if with_keys:
+        result, more = result.withColumn("text_md5", F.col("k")).withColumnRenamed("root", "component"), [*more, "text_md5", "component"]
     result = result.select("k", "n_shingles", "component_id", *more)
     return keyed.join(result, "k").select("doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), *more)
 

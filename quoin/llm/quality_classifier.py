@@ -16,7 +16,7 @@ from .language_id import remainder
 from .shared import without
 
 #: Labelled documents that the model is fitted on, about.
-SAMPLE = 3000
+SAMPLE = 2000
 
 
 @dataclass
@@ -70,6 +70,8 @@ def fit(texts: list[str], quality: np.ndarray, refine: int = 2) -> Model:
         field = crf.train(x, first, bad, weight, field, 30)
     model = Model(field, 0.0, 0.0)
     model.slope, model.base = _logistic(model.shares(column), quality.astype(np.float64))
+    del x, field
+    tk.lean()
     return model
 
 

@@ -13,13 +13,18 @@ BLANKS = "\t\n\x0b\x0c\r "
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: `spark.checkpoint.dir`, or one of our own where it is unset."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that driver and executors share: `spark.checkpoint.dir`.
+
+    Where it is unset, a local master may do with one of this machine's own; on a cluster executors
+    would not see it, so that is an error.
+    """
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
-        path = spark.sparkContext.getCheckpointDir()
-        if not path:
-            path = tempfile.mkdtemp(prefix="quoin-")
-            spark.sparkContext.setCheckpointDir(path)
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        path = tempfile.mkdtemp(prefix="quoin-")
+        spark.sparkContext.setCheckpointDir(path)
     return path
 
 

@@ -104,13 +104,16 @@ def substring_dedup(docs: DataFrame, window: int = 35, with_text: bool = False,
     docs; spans are the removed runs of words [start, stop), kept_text is null unless with_text.
 
     Two passes: partial count-min sketches of all window hashes are merged (`sketch`), and only
-    windows whose estimate is two or more are grouped exactly, by 96 bits of hash (a false match is
-    expected once in some 2**96 pairs). The estimate is never too low, so none is lost. Exact
+    windows whose estimate is two or more are grouped, by 96 bits of hash made of the words' 64-bit
+    hashes: two windows that differ are taken as one only if those 96 bits agree, or if they differ
+    in words of equal hash only. The estimate is never too low, so none is lost. Exact
     copies are folded first and count as often as they occur. A row whose text occurs once in
     docs and a row whose text is repeated are treated alike; the judgement is on the input.
 
     Null and empty texts: no words, the hash of the empty string. Texts shorter than the window:
-    nothing removed. Repeated rows and null ids: each row has a result. Other columns are ignored.
+    nothing removed. A text of any length is read whole, in a block with little else if it is longer
+    than block_bytes. Repeated rows and null ids: each row has a result. An empty table gives an empty
+    one. Other columns, of whatever name, are ignored.
     """
     if window < 1:
         raise ValueError("window must be at least 1")
