@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import exp, log1p
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,8 @@ _CLASS[[9, 10, 11, 12, 13, 32]] = _BLANK
 #: Features of a line itself; each line also has those of the lines before and after it.
 OWN = 17
 WIDTH = 3 * OWN + 1
+#: Lines of a text after which sums are made one by one, as few texts have so many.
+LONG = 512
 
 
 def line_features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -96,40 +99,77 @@ class Field:
     w: np.ndarray
     step: np.ndarray  # 2 x 2
 
-    def marginals(self, x: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-        """P(bad) of each line, expected steps (2 x 2) over all chains, and the log normaliser of all chains.
+    def marginals(self, x: np.ndarray, first: np.ndarray, expect: bool = True) -> tuple[np.ndarray, np.ndarray, float]:
+        """P(bad) of each line, expected steps (2 x 2) over all chains if asked for, and the log normaliser of all chains.
 
-        Forward and backward sums run over all chains at once, one line after the other; chains are
-        taken in order of length, so a step costs as much as there are chains that long.
+        Forward and backward sums run over the first LONG lines of all chains at once, one line after
+        the other; chains are taken in order of length, so a step costs as much as there are chains
+        that long. Further lines are few and summed chain by chain.
         """
         size = np.diff(first)
         order = np.argsort(-size, kind="stable")
         head, falling = first[:-1][order], -size[order]
         score = np.zeros((len(x), 2))
         score[:, 1] = x @ self.w
-        longest = int(size.max()) if len(size) else 0
+        longest = min(LONG, int(size.max()) if len(size) else 0)
         forward, backward = score.copy(), np.zeros((len(x), 2))
         alive = [head[: np.searchsorted(falling, -t, side="left")] + t for t in range(longest)]
         for t in range(1, longest):
             here = alive[t]
             before = forward[here - 1]
             forward[here] += np.logaddexp(before[:, :1] + self.step[0], before[:, 1:] + self.step[1])
+        far = [(int(first[c]) + LONG, int(first[c + 1])) for c in np.flatnonzero(size > LONG)]
+        for low, high in far:
+            self._forward(score, forward, low, high)
         expected = np.zeros((2, 2))
         ends = first[1:][size > 0] - 1
         z = np.zeros(len(x))
         whole = np.logaddexp(forward[ends, 0], forward[ends, 1])
         z[ends] = whole
+        for low, high in far:
+            z[low - 1 : high] = z[high - 1]
+            self._backward(score, backward, low, high)
+            if expect:
+                expected += self._steps(score, forward, backward, z, np.arange(low, high))
         for t in range(longest - 1, 0, -1):
             here = alive[t]
             z[here - 1] = z[here]
             after = score[here] + backward[here]
             backward[here - 1, 0] = np.logaddexp(self.step[0, 0] + after[:, 0], self.step[0, 1] + after[:, 1])
             backward[here - 1, 1] = np.logaddexp(self.step[1, 0] + after[:, 0], self.step[1, 1] + after[:, 1])
-            for a in (0, 1):
-                for b in (0, 1):
-                    expected[a, b] += np.exp(forward[here - 1, a] + self.step[a, b] + after[:, b] - z[here]).sum()
+            if expect:
+                expected += self._steps(score, forward, backward, z, here)
         return np.exp(forward[:, 1] + backward[:, 1] - z), expected, float(whole.sum())
 
+    def _steps(self, score: np.ndarray, forward: np.ndarray, backward: np.ndarray, z: np.ndarray, here: np.ndarray) -> np.ndarray:
+        """Expected steps into the given lines."""
+        after = score[here] + backward[here]
+        return np.array([[np.exp(forward[here - 1, a] + self.step[a, b] + after[:, b] - z[here]).sum() for b in (0, 1)] for a in (0, 1)])
+
+    def _forward(self, score: np.ndarray, forward: np.ndarray, low: int, high: int) -> None:
+        (s00, s01), (s10, s11) = self.step.tolist()
+        p, q = forward[low - 1].tolist()
+        rows = []
+        for bad in score[low:high, 1].tolist():
+            p, q = _sum(p + s00, q + s10), _sum(p + s01, q + s11) + bad
+            rows.append((p, q))
+        forward[low:high] = rows
+
+    def _backward(self, score: np.ndarray, backward: np.ndarray, low: int, high: int) -> None:
+        """Backward sums of the lines from low - 1 to high - 2."""
+        (s00, s01), (s10, s11) = self.step.tolist()
+        p = q = 0.0
+        rows = []
+        for bad in score[low:high, 1][::-1].tolist():
+            p, q = _sum(s00 + p, s01 + bad + q), _sum(s10 + p, s11 + bad + q)
+            rows.append((p, q))
+        backward[low - 1 : high - 1] = rows[::-1]
+
+
+def _sum(a: float, b: float) -> float:
+    """log(exp(a) + exp(b))."""
+    return max(a, b) + log1p(exp(-abs(a - b)))
+
 
 def train(x: np.ndarray, first: np.ndarray, bad: np.ndarray, weight: np.ndarray, start: Field | None = None, rounds: int = 60, decay: float = 1e-3) -> Field:
     """The field that makes the given labels likely: Adam on the exact gradient of the penalised likelihood.

@@ -28,7 +28,7 @@ class Model:
     def shares(self, texts: pa.Array) -> np.ndarray:
         """For each text the mean probability that a line is good, weighted by the lines' lengths."""
         x, weight, first = crf.line_features(texts)
-        bad, _, _ = self.field.marginals(x, first)
+        bad, _, _ = self.field.marginals(x, first, expect=False)
         return np.add.reduceat(weight * (1 - bad), first[:-1]) / np.add.reduceat(weight, first[:-1])
 
     def scores(self, texts: pa.Array) -> np.ndarray:
