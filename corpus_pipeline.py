@@ -7,7 +7,12 @@
    is taken as often as its share of words says, half up, so texts stay whole.
 5. SentencePiece: every row with its sampled pieces.
 
-All but the last return the columns of documents; n_chars follows the text.
+All but the last return the columns of documents, whatever others there are; n_chars follows the text.
+Null and empty texts are one empty line: they are scored, have no lines to lose, are in no group, and
+are not taken by the mix, as they have no words. Texts of any length are read whole. Null ids, sources
+and languages are values of their own; the row kept of a group has a null id only if all its rows do.
+Repeated rows are documents of their own until stage 3, which keeps one. Ties in the mix are settled by
+a hash of id and text. An empty table, or one of which nothing is kept, gives an empty one.
 """
 
 from __future__ import annotations
@@ -19,7 +24,7 @@ from quoin.llm.line_dedup import line_dedup
 from quoin.llm.ngram_join import ngram_join
 from quoin.llm.quality_classifier import score_quality
 from quoin.llm.sentencepiece_sampling import encode
-from quoin.llm.shared import scratch_path
+from quoin.llm.shared import BLANKS, digest, scratch_path
 from quoin.llm.source_mix import materialise, mix_sources
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -37,9 +42,18 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each group; rows that share that id stay together."""
-    first = ngram_join(docs, size=5, percent=80).where(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(first, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").select(*COLUMNS)
+    """One row of each group: of the least id, null last, then of the least digest of the text; rows without a word all stay.
+
+    Rows are known by id and digest, as ids may be null or shared. The join deals them by that name,
+    and repeated rows of one name are then found where they lie.
+    """
+    name = lambda doc_id, md5: F.concat_ws(":", F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.hex(md5))
+    groups = ngram_join(docs, size=5, percent=80, with_keys=True).where("n_shingles > 0").groupBy("component")
+    first = groups.agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("id"), F.col("text_md5").alias("md5"))).alias("f")).select(name("f.id", F.col("f.md5")).alias("_kept"))
+    worded = F.coalesce(F.col("text").rlike(f"[^{BLANKS}]"), F.lit(False))
+    named = docs.select(*COLUMNS).withColumn("_name", name("doc_id", digest(F.col("text"))))
+    kept = named.where(worded).join(first, F.col("_name") == F.col("_kept"), "left_semi").dropDuplicates(["_name"])
+    return kept.unionByName(named.where(~worded)).select(*COLUMNS)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
