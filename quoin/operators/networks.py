@@ -74,6 +74,61 @@ def unet_generator(x: np.ndarray, weights: dict[str, np.ndarray], downs: int = 8
     return level(x, 0)
 
 
+def patch_discriminator(x: np.ndarray, weights: dict[str, np.ndarray], layers: int = 3) -> np.ndarray:
+    """4x4 convolutions, the first `layers` of stride 2, LeakyReLU 0.2, instance norm but for the first; a one-channel map out."""
+    g = lambda n: (weights[f"{n}.w"], weights.get(f"{n}.b"))
+    x = relu(conv(x, *g("patch0"), stride=2, pad=1), 0.2)
+    for i in range(1, layers + 1):
+        x = relu(instance_norm(conv(x, *g(f"patch{i}"), stride=2 if i < layers else 1, pad=1)), 0.2)
+    return conv(x, *g("patch_out"), pad=1)
+
+
+def pixel_discriminator(x: np.ndarray, weights: dict[str, np.ndarray]) -> np.ndarray:
+    """Three 1x1 convolutions, each pixel by itself but for the instance norm."""
+    g = lambda n: (weights[f"{n}.w"], weights.get(f"{n}.b"))
+    x = relu(conv(x, *g("pixel0")), 0.2)
+    return conv(relu(instance_norm(conv(x, *g("pixel1"))), 0.2), *g("pixel_out"))
+
+
+def gan_loss(score: np.ndarray, real: bool, mode: str = "lsgan") -> float:
+    """How far a discriminator's map is from what it ought to say: squared, logistic, or the signed mean."""
+    if mode == "lsgan":
+        return float(((score - (1.0 if real else 0.0)) ** 2).mean())
+    if mode == "vanilla":
+        return float(np.logaddexp(0.0, -score if real else score).mean())
+    if mode == "wgangp":
+        return float(-score.mean() if real else score.mean())
+    raise ValueError(f"unknown loss {mode!r}")
+
+
+def learning_rate(base: float, epoch: int, kind: str = "linear", steady: int = 100, falling: int = 100, every: int = 50) -> float:
+    """The rate of an epoch, counted from 0: falling in a line after the steady ones, a tenth after every so many, or by half a cosine."""
+    if kind == "linear":
+        return base * (1.0 - max(0, epoch + 1 - steady) / (falling + 1))
+    if kind == "step":
+        return base * 0.1 ** (epoch // every)
+    if kind == "cosine":
+        return base * (1 + np.cos(np.pi * epoch / steady)) / 2
+    raise ValueError(f"unknown schedule {kind!r}")
+
+
+class Replay:
+    """Up to `size` images of before; once full, one asked for is given itself or, half the time, an old one whose place it takes."""
+
+    def __init__(self, size: int, seed: int = 0) -> None:
+        self.size, self.held, self.draw = size, [], np.random.default_rng(seed)
+
+    def ask(self, image: np.ndarray) -> np.ndarray:
+        if len(self.held) < self.size:
+            self.held.append(image)
+            return image
+        if not self.size or self.draw.random() <= 0.5:
+            return image
+        at = int(self.draw.integers(self.size))
+        old, self.held[at] = self.held[at], image
+        return old
+
+
 def random_weights(kind: str = "resnet", width: int = 64, blocks: int = 9, downs: int = 8, bands: int = 3, seed: int = 0) -> dict[str, np.ndarray]:
     r = np.random.default_rng(seed)
     shape: dict[str, tuple[int, ...]] = {}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 def file_lines(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
     """(path, stem, line_no, line) of text files: S5, S19."""
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", recursive).text(path).select(F.col("_metadata.file_path").alias("path"), "value")
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=recursive).select(F.col("_metadata.file_path").alias("path"), "value")
     return text_lines(files.withColumn("stem", stem(F.col("path"))), "stem", "value", "path")
 
 
