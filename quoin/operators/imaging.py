@@ -28,12 +28,6 @@ def oriented(photo: DataFrame, mode: str = "xyz") -> DataFrame:
     return photo.withColumns(g.rotation(F.col("omega_deg"), F.col("phi_deg"), F.col("kappa_deg"), mode))
 
 
-def sensor_checked(photo: DataFrame, pixel_x: str, pixel_y: str) -> DataFrame:
-    """Sensor sizes kept within 1 % of pixel size times the image's width, else null."""
-    close = lambda a, b: F.abs(a - b) <= lit(0.01) * F.greatest(F.abs(a), F.abs(b))
-    return photo.withColumns({s: F.when(close(F.col(s), F.col("w") * F.col(p) / lit(1000)), F.col(s)) for s, p in (("sensor_w", pixel_x), ("sensor_h", pixel_y))})
-
-
 def in_photos(faces: DataFrame, photo: DataFrame, distortion: tuple[float, float, float, float] | None = None) -> DataFrame:
     """Every ring in every photo, with n_in, the corners inside (A2).
 
