@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as g
 from ..functions.geometry import lit
-from ..operators import faces, imaging, packing, raster, rectify, tiles
+from ..operators import faces, imaging, packing, rectify, tiles
 from ..sources import fixtures, meshes, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -632,20 +632,3 @@ def patch_paste(spark, sf_dir):
     k = (F.col("vec_id") % 4).cast("int") * 3
     p = _patch8(spark, sf_dir).select(F.expr("vec_id div 4").alias("canvas"), "vec_id", (F.col("r") + k).alias("y"), (F.col("c") + k).alias("x"), "v")
     return p.groupBy("canvas", "y", "x").agg(F.max(F.struct("vec_id", "v"))["v"].alias("v"), F.count("*").alias("n"), _r(F.avg("v")).alias("mean"))
-
-
-@query()
-def warp_patch(spark, sf_dir):
-    """Every 8 x 8 patch as an image, letterboxed to 32 and taken back."""
-    e = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-
-    def draw(batches):
-        import numpy as np
-
-        for pdf in batches:
-            data = [np.repeat(np.clip((np.array(v) + 1) / 2 * 255, 0, 255).astype(np.uint8).reshape(8, 8, 1), 3, axis=2).tobytes() for v in pdf["embedding"]]
-            yield pdf[["vec_id"]].assign(height=8, width=8, channels=3, data=data)
-
-    images = e.select("vec_id", "embedding").mapInPandas(draw, f"vec_id long, {raster.IMAGE}")
-    made = raster.map_images(images, lambda x: raster.unletterbox(raster.letterbox(x, 32), 8, 8), "vec_id long")
-    return made.select("vec_id", "height", "width", "channels", F.sha2("data", 256).alias("sha256"))

@@ -9,7 +9,7 @@ from ..functions import geometry as g
 from ..functions.geometry import lit
 from ..operators import faces, imaging, packing, raster, rectify
 from ..sources import fixtures
-from .registry import _ADJ, _HIDE, _KIND, _MSEEN, _PLANE, _SEEN, FACE, _placed, _r, _rings, query
+from .registry import _HIDE, _KIND, _MSEEN, _PLANE, FACE, _placed, _r, _rings, query
 
 # --- level walls ---
 
@@ -245,6 +245,20 @@ def image_letterbox(spark, sf_dir):
     return _made(spark, sf_dir, lambda image: raster.letterbox(image[:4], 16))
 
 
+def _there_and_back() -> str:
+    """SQL of the patch at four times the size, rounded, and of the mean of the middle four of each sixteen."""
+    p = lambda dy, dx: f"join px p{dy}{dx} on p{dy}{dx}.vec_id = s.vec_id and p{dy}{dx}.c = s.c and p{dy}{dx}.y = least(cast(floor(sy) as int) + {dy}, 7) and p{dy}{dx}.x = least(cast(floor(sx) as int) + {dx}, 7)"
+    at = "case {0} when 0 then greatest(0e0, {1} - 125e-3) else least(7e0, {1} + 125e-3) end"
+    large = f"select s.vec_id, s.y, s.x, s.c, round_even((p00.v * (1 - (sx - floor(sx))) + p01.v * (sx - floor(sx))) * (1 - (sy - floor(sy))) + (p10.v * (1 - (sx - floor(sx))) + p11.v * (sx - floor(sx))) * (sy - floor(sy)), 0) v from (select gr.*, {at.format('i', 'gr.y')} sy, {at.format('j', 'gr.x')} sx from gr, (values (0), (1)) a(i), (values (0), (1)) b(j)) s " + " ".join(p(i, j) for i in (0, 1) for j in (0, 1))
+    return f"select vec_id, y, x, c, round_even(sum(v) / 4, 0) v from ({large}) group by vec_id, y, x, c"
+
+
+@query(_hex(8, 8, _there_and_back()))
+def warp_patch(spark, sf_dir):
+    """Every patch letterboxed to 32 and taken back."""
+    return _made(spark, sf_dir, lambda image: raster.unletterbox(raster.letterbox(image, 32), 8, 8))
+
+
 @query(_hex(8, 8, "select * from px"))
 def image_cut_merge(spark, sf_dir):
     """Cut into overlapping tiles and merged again."""
