@@ -6,7 +6,6 @@ from collections import Counter
 
 import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
 
 from quoin.llm.fingerprint import containment, chunks, edited, fingerprints
 from quoin.llm.language_id import language_id
