@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from . import textkernel as tk
 from .vocabulary import SPACE, vocabulary
 
-#: Words that a Python process remembers; it forgets all when there are more.
-MEMO = 300_000
+#: Words that a Python process remembers, some 150 bytes each; the common ones are met first.
+MEMO = 1_000_000
 
 
 #: Bits of a heap entry that hold the place in the text; the rank is above them.
@@ -89,8 +89,6 @@ class Counts(dict):
         return symbols - self.merger.merges(s)
 
     def __missing__(self, word: str) -> int:
-        if len(self) > MEMO:
-            self.clear()
         s, pairs = self.prefix + word, self.merger.pairs
         if pairs.issuperset(map(add, s, s[1:])):
             total = self.part(s)
@@ -100,7 +98,7 @@ class Counts(dict):
                 if i == len(s) or s[i - 1 : i + 1] not in pairs:
                     total += self.part(s[at:i])
                     at = i
-        if len(word) <= 64:
+        if len(word) <= 64 and len(self) < MEMO:
             self[word] = total
         return total
 
