@@ -7,8 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from quoin.functions import geometry as g
+from quoin.operators import faces as meshes
 from quoin.operators import imaging
 from quoin.plans import registry
+from quoin.sources import fixtures
 
 PHOTO = "photo_id long, cx double, cy double, cz double, omega_deg double, phi_deg double, kappa_deg double, w int, h int, sensor_w double, sensor_h double, f double, ppx double, ppy double"
 ENDS = ["u_min", "u_max", "v_min", "v_max"]
@@ -50,6 +52,28 @@ def test_pairs_are_dealt_to_tasks(spark, monkeypatch):
     assert df.rdd.getNumPartitions() >= 1200 * 10 // 500
 
 
+@pytest.mark.parametrize("distortion", [None, (1e-3, 2e-3, 3e-2, 1e-3)])
+def test_files_repeat_themselves(spark, tmp_path, monkeypatch, distortion):
+    """Four doubles a row, of which a third is in another face's row of the same building and photo, however many tasks."""
+    monkeypatch.setattr(imaging, "TASK_PAIRS", 4000)
+    faces = meshes.rings(fixtures.table(spark, "/root/testdata/sf0.001", "corner"))
+    found = imaging.ends(faces, fixtures.table(spark, "/root/testdata/sf0.01", "photo"), distortion)
+    g.rounded(found, ENDS, 3).select(ENDS).write.option("parquet.enable.dictionary", "false").option("compression", "snappy").parquet(str(tmp_path / "ends"))
+    assert sum(f.stat().st_size for f in (tmp_path / "ends").glob("*.parquet")) / (1200 * 100) < 22
+
+
+def test_tiles_are_bounded(spark):
+    """A building of many faces fills no tile alone, and a row of no tile is lost or doubled."""
+    faces = spark.range(9000).selectExpr("cast(id as int) % 3000 face_no", "if(id < 3000, 0, id) bldg_id", "cast(id as double) x")
+    tiles = imaging._tiles(faces, 5, 9000, 30)
+    assert tiles.rdd.getNumPartitions() == 5
+    got = [[tuple(f) for f in r.tile] for r in tiles.collect()]
+    assert max(map(len, got)) <= 200 and all(t == sorted(t) for t in got)
+    assert sorted(f for t in got for f in t) == sorted(map(tuple, faces.collect()))
+    per_task = tiles.select(F.spark_partition_id().alias("p"), F.size("tile").alias("n")).groupBy("p").agg(F.sum("n").alias("n")).collect()
+    assert len(per_task) == 5 and max(r.n for r in per_task) < 3000
+
+
 def test_rounded_as_in_duckdb(spark):
     r = random.Random(5)
     given = [0.0005, 0.0015, -0.0005, 2.5005, 1.0005, 0.0, -1e-9, 4.5e15, -123456789012.3455, 0.00049999999999999994, None, *[r.uniform(-1e6, 1e6) for _ in range(300)], *[r.randrange(10**6) / 1000 + 0.0005 for _ in range(300)]]
